@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import packing, sharding
+from leafmill.llm import ann, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
+    "op9_multiprobe_search": ann.op9_multiprobe_search,
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
 }
 
