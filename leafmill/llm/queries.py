@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import ann, packing, sharding
+from leafmill.llm import ann, lm, packing, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_backoff_lm": lm.op8_backoff_lm,
     "op9_multiprobe_search": ann.op9_multiprobe_search,
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
 }
