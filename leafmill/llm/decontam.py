@@ -31,6 +31,8 @@ PASSAGE, STRIDE = 64, 32
 K1, B, SHARE = 1.2, 0.5, 0.6
 #: Shares of the word runs of a question and of an answer that a leak holds, and the length of these runs.
 QUESTION, ANSWER, RUN = 0.6, 0.5, 3
+#: Groups of items (of six, at least) with largest scores of their own, which rule out passages.
+GROUPS = 64
 #: Postings per block, and bytes of test items that are indexed and broadcast at once.
 BLOCK, INDEX_BYTES = 64, 16 << 20
 
@@ -57,11 +59,12 @@ class Part:
 
 @dataclass
 class Index:
-    """terms: sorted word hashes; most: a term's largest score; lists: (items, scores, last item and largest score of each block); question, answer: of each item; words: its length."""
+    """terms: sorted word hashes; most: a term's largest score; groups: the same for each group of items; lists: (items, scores, last item and largest score of each block); question, answer: of each item; words: its length."""
 
     ids: list
     terms: np.ndarray
     most: np.ndarray
+    groups: np.ndarray
     lists: list[tuple[list[int], list[float], list[int], list[float]]]
     question: list[Part]
     answer: list[Part]
@@ -89,8 +92,12 @@ def build(items: list[tuple[object, str]]) -> Index:
         p = postings[t]
         cut = [p[a : a + BLOCK] for a in range(0, len(p), BLOCK)]
         lists.append(([k for k, _ in p], [v for _, v in p], [c[-1][0] for c in cut], [max(v for _, v in c) for c in cut]))
+    size = max(6, -(-n // GROUPS))
+    groups = np.zeros((len(terms), max(1, -(-n // size))), np.float32)
+    for t, (ks, vs, _, _) in enumerate(lists):
+        np.maximum.at(groups[t], np.array(ks) // size, np.array(vs, np.float32))
     halves = [parts(t) for _, t, _ in hashed]
-    return Index([i for i, _, _ in hashed], terms, np.array([max(x[3]) for x in lists]), lists, [Part.of(q) for q, _ in halves], [Part.of(a) for _, a in halves], [len(ws) for _, _, ws in hashed])
+    return Index([i for i, _, _ in hashed], terms, np.array([max(x[3]) for x in lists]), groups, lists, [Part.of(q) for q, _ in halves], [Part.of(a) for _, a in halves], [len(ws) for _, _, ws in hashed])
 
 
 def wand(index: Index, terms: list[int], threshold: float = 1.0) -> list[tuple[int, float]]:
@@ -159,15 +166,17 @@ def leaks(index: Index, texts: list[bytes]) -> Iterator[tuple[int, int, float, f
     # passages are numbered through all texts; a word lies in that which starts at the stride before it and in the one before that
     count = np.maximum(1, -(-np.diff(first) // STRIDE))
     base = np.concatenate([[0], np.cumsum(count)])
-    most = index.most[term]
-    bound = np.zeros(base[-1])
+    bound = np.zeros((base[-1], index.groups.shape[1]), np.float32)
     for back in range(PASSAGE // STRIDE):
         p = pos // STRIDE - back
-        new = (p >= 0) & (prev < p * STRIDE)
-        bound += np.bincount(base[d[new]] + p[new], weights=most[new], minlength=base[-1])
+        new = np.flatnonzero((p >= 0) & (prev < p * STRIDE))
+        if len(new):
+            passage = base[d[new]] + p[new]
+            cut = np.flatnonzero(np.diff(passage, prepend=-1))
+            bound[passage[cut]] += np.add.reduceat(index.groups[term[new]], cut, axis=0)
     grams, gdoc, gpos = shingles(h, doc, RUN)
     found: dict[tuple[int, int], tuple] = {}
-    for p in np.flatnonzero(bound >= 1 - 1e-9):
+    for p in np.flatnonzero(bound.max(axis=1) >= 1 - 1e-4):
         i = int(np.searchsorted(base, p, side="right") - 1)
         s = int(p - base[i]) * STRIDE
         lo, hi = np.searchsorted(hit, [first[i] + s, min(first[i] + s + PASSAGE, first[i + 1])])
