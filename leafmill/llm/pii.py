@@ -57,12 +57,14 @@ LABELERS = ("check", "gazetteer", "context", "edges")
 
 def _found(text: Column, pattern: str) -> Column:
     """Every match with its start, end, and the text before and after it."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    rows = F.transform(
-        hits,
-        lambda m, i: F.struct(m.alias("m"), F.length(m).alias("n"), F.length(F.get(gaps, i)).alias("gap"), F.right(F.get(gaps, i), F.lit(40)).alias("before"), F.substring(F.get(gaps, i + 1), 1, 1).alias("after")),
-    )
+    # one struct holds both lists, so that the lambda below reads them instead of searching the text for each match
+    both = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps")))
+
+    def one(x: Column) -> Column:
+        gap = lambda i: F.get(x["gaps"], i)
+        return F.transform(x["hits"], lambda m, i: F.struct(m.alias("m"), F.length(m).alias("n"), F.length(gap(i)).alias("gap"), F.right(gap(i), F.lit(40)).alias("before"), F.substring(gap(i + 1), 1, 1).alias("after")))
+
+    rows = F.flatten(F.transform(both, one))
     # running position: the sum of all gaps and matches so far
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<m:string,before:string,after:string,start:int,end:int>>").alias("out"))
 
