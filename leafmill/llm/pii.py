@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import load, written
+from leafmill.llm.spans import found as _found
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -55,28 +56,6 @@ AGAINST = r"(?i)\b(?:version|v|release|isbn|order|invoice|serial|section|figure|
 LABELERS = ("check", "gazetteer", "context", "edges")
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Every match with its start, end, and the text before and after it."""
-    # one struct holds both lists, so that the lambda below reads them instead of searching the text for each match
-    both = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps")))
-
-    def one(x: Column) -> Column:
-        gap = lambda i: F.get(x["gaps"], i)
-        return F.transform(x["hits"], lambda m, i: F.struct(m.alias("m"), F.length(m).alias("n"), F.length(gap(i)).alias("gap"), F.right(gap(i), F.lit(40)).alias("before"), F.substring(gap(i + 1), 1, 1).alias("after")))
-
-    rows = F.flatten(F.transform(both, one))
-    # running position: the sum of all gaps and matches so far
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<m:string,before:string,after:string,start:int,end:int>>").alias("out"))
-
-    def step(a: Column, r: Column) -> Column:
-        s = a["at"] + r["gap"]
-        e = s + r["n"]
-        row = F.struct(r["m"].alias("m"), r["before"].alias("before"), r["after"].alias("after"), s.alias("start"), e.alias("end"))
-        return F.struct(e.alias("at"), F.concat(a["out"], F.array(row)).alias("out"))
-
-    return F.aggregate(rows, start, step, lambda a: a["out"])
-
-
 def digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 

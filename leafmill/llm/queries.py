@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import ann, decontam, dedup, lm, packing, pii, sharding, toxicity
+from leafmill.llm import ann, decontam, dedup, lm, packing, pii, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
     "op3_probminhash_dedup": dedup.op3_probminhash_dedup,
     "op4_decontamination": decontam.op4_decontamination,
     "op5_pii": pii.op5_pii,
+    "op6_secrets": secrets.op6_secrets,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_backoff_lm": lm.op8_backoff_lm,
     "op9_multiprobe_search": ann.op9_multiprobe_search,
