@@ -34,6 +34,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers or one fingerprint that may be broadcast: some tens of MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def checked(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written, narrow table, to be broadcast if it has at most ``rows`` rows; else Spark shuffles it."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def purge(spark: SparkSession) -> None:
     """Delete every table ``written`` has made in this application."""
     jvm = spark.sparkContext._jvm

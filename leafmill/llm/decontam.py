@@ -237,7 +237,7 @@ def _scanner(sent):
         index = sent.value
         for batch in batches:
             take, cols = [], [[] for _ in range(6)]
-            for at, texts in blocks(batch.column(1).to_pylist()):
+            for at, texts in blocks(batch.column(1)):
                 for i, k, score, q, a, s, e in leaks(index, texts):
                     take.append(at + i)
                     lead = texts[i][:s].decode("utf-8", "surrogatepass")
@@ -271,7 +271,7 @@ def _cleaner(sent, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for at, texts in blocks(batch.column(column).to_pylist()):
+            for at, texts in blocks(batch.column(column)):
                 for i, *_ in leaks(sent.value, texts):
                     keep[at + i] = False
             yield batch.filter(pa.array(keep))

@@ -106,7 +106,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
         for batch in batches:
             out = np.zeros((batch.num_rows, bands), np.int64)
             some = np.zeros(batch.num_rows, bool)
-            for at, texts in blocks(batch.column(1).to_pylist()):
+            for at, texts in blocks(batch.column(1)):
                 doc, h, w = weighted(texts, words)
                 out[at : at + len(texts)] = band_keys(probminhash(doc, h, w, len(texts), m), bands, rows)
                 some[at + np.unique(doc)] = True

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 #: Letters and digits of ASCII (as lower case) and every byte of a longer character belong to words; all else parts them.
@@ -63,11 +64,11 @@ def shingles(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return mix(out[keep] + U(n)), doc[keep], at[keep] - first[keep]
 
 
-def blocks(texts: Sequence[str | None], limit: int = 1 << 20):
-    """(first row, texts as bytes) in groups of about ``limit`` bytes; a longer text is a group of its own."""
+def blocks(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts as UTF-8; null: empty) in groups of about ``limit`` bytes; a longer text is a group of its own."""
     at, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        b = (t or "").encode("utf-8", "surrogatepass")
+    for i, t in enumerate(texts.cast(pa.binary())):
+        b = t.as_py() or b""
         if held and size + len(b) > limit:
             yield at, held
             at, held, size = i, [], 0
