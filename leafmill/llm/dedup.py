@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import load, written
+from leafmill.llm.common import checked, load, written
 from leafmill.llm.hashing import U, blocks, mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
@@ -179,8 +179,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     met = written(keys.join(heads, "key"), "met")
     pair = lambda r: met.filter(F.col("fp") != F.col(r)).select(F.greatest("fp", r).alias("a"), F.least("fp", r).alias("b"))
     first = written(pair("r0").distinct(), "pairs-0")
-    held = first.select(F.col("a").alias("fp")).union(first.select("b")).distinct()
-    texts = written(ids.select("fp", "text").join(held, "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
+    held = written(first.select(F.col("a").alias("fp")).union(first.select("b")).distinct(), "held")
+    texts = written(ids.select("fp", "text").join(checked(held), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
     links = written(verified(first, texts, words, threshold), "links-0")
     # what the first representatives have joined already needs no second look
     found = components(links, "class-0")
@@ -214,7 +214,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **opt
     # classes of one row need no join by text: their keys tell them, if keys are unique
     many = written(kept.filter("n > 1").select("root", "k"), "kept")
     gone = rows.join(many, "root").filter(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("fp") == F.col("k.fp")))).select("doc_id", "fp").distinct()
-    left = data.withColumn("_fp", fp).join(gone.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_gone")), F.col(names[key]).eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_gone")), "left_anti")
+    left = data.withColumn("_fp", fp).join(checked(written(gone, "gone")).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_gone")), F.col(names[key]).eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_gone")), "left_anti")
     again = rows.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_gone"))
     if not again.isEmpty():
         again = written(again, "again")
