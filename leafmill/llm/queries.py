@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import ann, decontam, dedup, lm, packing, pii, secrets, sharding, toxicity
+from leafmill.llm import ann, decontam, dedup, licenses, lm, packing, pii, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_probminhash_dedup": dedup.op3_probminhash_dedup,
     "op4_decontamination": decontam.op4_decontamination,
     "op5_pii": pii.op5_pii,
