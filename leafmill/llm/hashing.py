@@ -64,7 +64,7 @@ def shingles(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return mix(out[keep] + U(n)), doc[keep], at[keep] - first[keep]
 
 
-def blocks(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8; null: empty) in groups of about ``limit`` bytes; a longer text is a group of its own."""
     at, held, size = 0, [], 0
     for i, t in enumerate(texts.cast(pa.binary())):

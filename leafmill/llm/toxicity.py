@@ -49,14 +49,17 @@ def present(text: str, table: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], toxic: np.ndarray, features: int = FEATURES) -> tuple[np.ndarray, np.ndarray, float]:
     """Hashes used, their weights (log ratio times coefficient) and the bias."""
-    n = np.array([(toxic == 0).sum(), (toxic == 1).sum()], float)
+    n = np.array([(toxic == 0).sum(), (toxic == 1).sum()], np.float32)
     if not n.all():
         return np.zeros(0, np.int64), np.zeros(0), float(np.log((n[1] + 1) / (n[0] + 1))) if n.any() else -np.inf
-    df = np.zeros((2, 1 << BITS), np.float64)
+    df = np.zeros((2, 1 << BITS), np.float32)
+    seen = np.zeros(1 << BITS, bool)
     for t, y in zip(texts, toxic, strict=True):
-        h = [np.unique(x) for x in ngrams(t)]
-        if h:
-            df[int(y), np.unique(np.concatenate(h))] += 1
+        for h in ngrams(t):
+            seen[h] = True
+        at = np.flatnonzero(seen)
+        df[int(y), at] += 1
+        seen[at] = False
     # log ratio of the shares of texts that hold the n-gram, and its standard error
     ratio = np.log((df[1] + 1) / (n[1] + 2)) - np.log((df[0] + 1) / (n[0] + 2))
     z = ratio / np.sqrt(1 / (df[1] + 1) + 1 / (df[0] + 1))
@@ -64,18 +67,18 @@ def fit(texts: list[str], toxic: np.ndarray, features: int = FEATURES) -> tuple[
     used = np.sort(order[(df[:, order].sum(axis=0) > 0) & (np.abs(z[order]) > 1)])
     table = np.zeros(1 << BITS, np.int32)
     table[used] = np.arange(1, len(used) + 1)
-    x = np.zeros((len(texts), len(used)), np.float32)
-    for i, t in enumerate(texts):
-        x[i, present(t, table) - 1] = 1
-    scale = ratio[used].astype(np.float32)
-    x *= scale
+    # the few features that a text has, as (row, column) pairs
+    cols = [present(t, table) - 1 for t in texts]
+    row, col = np.repeat(np.arange(len(texts)), [len(f) for f in cols]), np.concatenate(cols)
+    scale = ratio[used]
+    x = scale[col]
     y = toxic.astype(np.float32)
-    w, b, penalty = np.zeros(len(used), np.float32), float(np.log(n[1] / n[0])), 1.0 / len(texts)
+    w, b, penalty = np.zeros(len(used)), float(np.log(n[1] / n[0])), 1.0 / len(texts)
     vw, vb, gw, gb = 0.0, 0.0, np.zeros_like(w), 0.0
     for step in range(1, 401):  # Adam on the whole sample
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, x * w[col], len(texts)) + b, -30, 30)))
         e = (p - y) / len(y)
-        dw, db = x.T @ e + penalty * w, float(e.sum())
+        dw, db = np.bincount(col, x * e[row], len(used)) + penalty * w, float(e.sum())
         gw, gb = 0.9 * gw + 0.1 * dw, 0.9 * gb + 0.1 * db
         vw, vb = 0.99 * vw + 0.01 * dw * dw, 0.99 * vb + 0.01 * db * db
         c1, c2 = 1 - 0.9**step, 1 - 0.99**step
