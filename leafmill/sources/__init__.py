@@ -1,0 +1 @@
+"""Readers of snapshots of the web."""
