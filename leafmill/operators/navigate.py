@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.text import join_pages
 from leafmill.functions.urls import host_of, is_noise, normalize, same_host
+from leafmill.operators.stage import cut
 
 
 def paginate(starts: DataFrame, pages: DataFrame, most: int = 3, least_chars: int = 20) -> DataFrame:
@@ -34,16 +35,15 @@ def paginate(starts: DataFrame, pages: DataFrame, most: int = 3, least_chars: in
     return out.select("url", "text", "n_pages")
 
 
-def crawl(entries: DataFrame, pages: DataFrame, max_pages: int = 10, max_depth: int = 2, cut=None) -> DataFrame:
+def crawl(entries: DataFrame, pages: DataFrame, max_pages: int = 10, max_depth: int = 2) -> DataFrame:
     """Breadth-first walks of many sites at once: (entry, url, depth, place, error, page columns).
 
     ``entries`` has entry; ``pages`` has norm, links (array of URLs) and more.
     One join per level; the visited set is an anti-join.  Within a site, pages
     come in order of discovery until ``max_pages`` have been read; failures
-    take no budget.  ``cut`` materialises each level (a checkpoint), so that
-    lineage doesn't grow with depth.
+    take no budget.  Each level is checkpointed, so that lineage doesn't grow
+    with depth.  A queue isn't bounded as such: what is read is.
     """
-    cut = cut or (lambda df: df)
     extra = [c for c in pages.columns if c not in ("norm", "links")]
     level = entries.select("entry", F.col("entry").alias("url"), normalize(F.col("entry")).alias("norm"), F.lit(0).cast("long").alias("place"))
     visited, read, out = None, None, None

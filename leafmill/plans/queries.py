@@ -150,7 +150,7 @@ def description_fallback(spark, folder):
 @query()
 def read_markdown(spark, folder):
     """Every page as Markdown."""
-    return read_pages(spark, folder).select("page_id", markdown.body_markdown(c("html")).alias("markdown"))
+    return markdown.with_markdown(read_pages(spark, folder)).select("page_id", "markdown")
 
 
 # --- slices ----------------------------------------------------------------------------------
@@ -402,7 +402,7 @@ def cache_replay(spark, folder):
 def _requests(spark, folder):
     pages = read_pages(spark, folder)
     # each page asks for itself, for a page that isn't there, for what isn't a page, and for nothing
-    return pages.select(c("page_id").alias("request"), F.array(F.concat(F.lit(" "), "url"), F.lit(""), F.concat("url", F.lit("/none")), F.lit("ftp://x.example.com/")).alias("urls")), pages
+    return pages.select(c("page_id").alias("request"), F.array(F.concat(F.lit(" "), "url"), F.lit(""), F.concat(F.lit("http://none.example.com/"), c("page_id").cast("string")), F.lit("ftp://x.example.com/")).alias("urls")), pages
 
 
 @query("select page_id as request, 3::bigint as total, 1::bigint as succeeded, 2::bigint as failed from pages")
@@ -412,7 +412,7 @@ def batch_summary(spark, folder):
 
 
 @query(
-    f"""select page_id as request, '读取 1/3 页成功，2 页失败' || chr(10) || chr(10) || '--- ' || t || ' (' || length(x) || ' 字符) ---' || chr(10) || x || chr(10) || chr(10) || '[失败] ' || url || '/none — HTTP 404 Not Found' || chr(10) || chr(10) || '[失败] ftp://x.example.com/ — Only http/https URLs are supported' as report
+    f"""select page_id as request, '读取 1/3 页成功，2 页失败' || chr(10) || chr(10) || '--- ' || t || ' (' || length(x) || ' 字符) ---' || chr(10) || x || chr(10) || chr(10) || '[失败] http://none.example.com/' || page_id || ' — HTTP 404 Not Found' || chr(10) || chr(10) || '[失败] ftp://x.example.com/ — Only http/https URLs are supported' as report
     from (select page_id, url, {Q.title('html')} as t, {Q.body_text('html')} as x from pages) where length(x) <= 3000 and x <> ''"""
 )
 def batch_report(spark, folder):

@@ -10,7 +10,7 @@ from leafmill.functions import render, urls
 from leafmill.functions.text import parse_feed, payload_kind, smart_truncate
 from leafmill.operators.fetch import lookup
 from leafmill.operators.jsonx import compact_json
-from leafmill.operators.markdown import body_markdown
+from leafmill.operators.markdown import with_markdown
 
 
 def documents(pages: DataFrame, mode: str = "text", max_links: int = 0, content_type: Column | None = None) -> DataFrame:
@@ -21,7 +21,9 @@ def documents(pages: DataFrame, mode: str = "text", max_links: int = 0, content_
     """
     kind = payload_kind(content_type, F.col("html")) if content_type is not None else F.lit("html")
     out = pages.withColumn("kind", kind)
-    body = body_markdown(F.col("html")) if mode == "markdown" else H.body_text(F.col("html"))
+    if mode == "markdown":
+        out = with_markdown(out, out="_body")
+    body = F.col("_body") if mode == "markdown" else H.body_text(F.col("html"))
     out = out.withColumn("_x", H.extract(F.col("html"), body))
     if content_type is not None:
         out = out.withColumn("_f", F.when(F.col("kind") == "feed", parse_feed(F.col("html"), 20)))
