@@ -156,16 +156,7 @@ def read_markdown(spark, folder):
 # --- slices ----------------------------------------------------------------------------------
 
 
-def _sentences(x: str, limit: int) -> str:
-    return f"""with r as (select id, x, regexp_extract_all(x, {Q.lit(V.SENTENCE)}) as s from ({x})),
-    u as (select id, unnest(s) as t, generate_subscripts(s, 1) as i from r),
-    w as (select id, t, i, sum(length(t)) over (partition by id order by i) as n from u),
-    k as (select id, string_agg(t, '' order by i) as t from w where n <= {limit} group by id),
-    f as (select r.id, r.x, coalesce(k.t, left(r.x, {limit})) as t from r left join k on k.id = r.id)
-    select id as doc_id, case when length(x) <= {limit} then x else t end as text, length(x) > {limit} as truncated, length(x) as chars_total, least(length(x), length(case when length(x) <= {limit} then x else t end)) as chars_returned from f"""
-
-
-@query(_sentences("select doc_id as id, text as x from documents", 500))
+@query(f"select doc_id, {Q.sliced('text', 500)} as text, length(text) > length({Q.sliced('text', 500)}) as truncated, length(text) as chars_total, length({Q.sliced('text', 500)}) as chars_returned from documents")
 def truncate_sentence(spark, folder):
     """Slices of texts without blank lines: whole sentences, else a hard cut."""
     s = text.smart_truncate(c("text"), 500)
@@ -179,14 +170,16 @@ def _paragraphs(offset: int, limit: int) -> str:
     a as (select id, t, i, coalesce(sum(length(t) + 2) over (partition by id order by i rows between unbounded preceding and 1 preceding), 0) as pos from u),
     s as (select id, min(i) as i0 from a where pos + length(t) > {offset} group by id),
     w as (select a.id, a.t, a.i, sum(length(a.t) + 2) over (partition by a.id order by a.i) - 2 as n from a join s on s.id = a.id and a.i >= s.i0),
-    k as (select id, string_agg(t, chr(10) || chr(10) order by i) as t from w where n <= {limit} group by id)
-    select d.id as doc_id, case when {offset} >= length(x) then '' when {offset} = 0 and length(x) <= {limit} then x else k.t end as text from d left join k on k.id = d.id
-    where {offset} >= length(x) or ({offset} = 0 and length(x) <= {limit}) or k.t is not null"""
+    k as (select id, string_agg(t, chr(10) || chr(10) order by i) as t from w where n <= {limit} group by id),
+    h as (select a.id, a.t as p, greatest(0, {offset} - a.pos)::bigint as rel from a join s on s.id = a.id and s.i0 = a.i),
+    r as (select d.id, case when length(h.p) > h.rel then substr(h.p, h.rel + 1) else substr(d.x, {offset} + 1) end as rest from d left join h on h.id = d.id)
+    select d.id as doc_id, case when {offset} >= length(x) then '' when {offset} = 0 and length(x) <= {limit} then x else coalesce(nullif(k.t, ''), {Q.sentences('r.rest', limit)}) end as text
+    from d left join k on k.id = d.id left join r on r.id = d.id"""
 
 
 @query(_paragraphs(0, 1500))
 def truncate_paragraph(spark, folder):
-    """Slices that end with a paragraph (where a whole one fits)."""
+    """Slices that end with a paragraph, else a sentence."""
     return _sliced(spark, folder, 0, 1500)
 
 
@@ -198,12 +191,7 @@ def truncate_offset(spark, folder):
 
 def _sliced(spark, folder, offset, limit):
     x = F.replace(c("text"), F.lit("\n"), F.lit("\n\n"))
-    out = table(spark, folder, "documents").select("doc_id", x.alias("x")).withColumn("s", text.smart_truncate(c("x"), limit, offset))
-    # texts whose first paragraph doesn't fit are cut by sentences, which truncate_sentence checks
-    paragraphs = F.split("x", "\n{2,}", -1)
-    at = F.aggregate(paragraphs, F.struct(F.lit(0).alias("at"), F.lit(-1).alias("n")), lambda a, p: F.struct((a["at"] + F.length(p) + 2).alias("at"), F.when((a["n"] < 0) & (a["at"] + F.length(p) > offset), F.length(p)).otherwise(a["n"]).alias("n")))
-    whole = (F.length("x") <= offset) | ((F.length("x") <= limit) & F.lit(offset == 0)) | ((at["n"] >= 0) & (at["n"] <= limit))
-    return out.filter(whole).select("doc_id", "s.text")
+    return table(spark, folder, "documents").select("doc_id", text.smart_truncate(x, limit, offset).alias("s")).select("doc_id", "s.text")
 
 
 @query(
@@ -327,7 +315,7 @@ def next_link(spark, folder):
 # --- feeds, JSON, bytes ----------------------------------------------------------------------------
 
 
-_FEED = """'<rss><channel><title>Feed &amp;amp; ' || doc_id || '</title><item><title><![CDATA[' || left(text, 150) || ']]></title><link>https://e.example.com/' || doc_id || '</link><description>&lt;p&gt;' || left(text, 300) || '&lt;/p&gt;</description></item><item><title></title></item><item><title>B</title></item></channel></rss>'"""
+_FEED = """'<rss><channel><title>Feed &amp;amp; ' || doc_id || '</title><item><title><![CDATA[' || text || ']]></title><link>https://e.example.com/' || doc_id || '</link><description>&lt;p&gt;' || text || '&lt;/p&gt;</description></item><item><title></title></item><item><title>B</title></item></channel></rss>'"""
 
 
 def _xml_text(x: str) -> str:
@@ -337,13 +325,12 @@ def _xml_text(x: str) -> str:
 
 
 @query(
-    f"""with f as (select doc_id, left({Q.squeeze("left(text, 150)")}, 120) as t, left({_xml_text("d")}, 200) as s, 'https://e.example.com/' || doc_id as u from (select doc_id, text, '&lt;p&gt;' || left(text, 300) || '&lt;/p&gt;' as d from documents where not contains(text, '&') and not contains(text, '<')))
-    select doc_id, 'Feed & ' || doc_id as title, 2::bigint as count, '- ' || t || ' — ' || u || chr(10) || '  ' || s || chr(10) || '- B' as text from f"""
+    f"""with f as (select doc_id, left({_xml_text("text")}, 120) as t, left({_xml_text("'&lt;p&gt;' || text || '&lt;/p&gt;'")}, 200) as s, 'https://e.example.com/' || doc_id as u from documents)
+    select doc_id, 'Feed & ' || doc_id as title, 2::bigint as count, '- ' || t || ' — ' || u || (case when s <> '' then chr(10) || '  ' || s else '' end) || chr(10) || '- B' as text from f"""
 )
 def feed_parse(spark, folder):
     """Feeds with CDATA, doubly escaped text and an empty item."""
-    docs = table(spark, folder, "documents").filter(~c("text").contains("&") & ~c("text").contains("<"))
-    x = docs.select("doc_id", text.parse_feed(F.expr(_FEED), 20).alias("f"))
+    x = table(spark, folder, "documents").select("doc_id", text.parse_feed(F.expr(_FEED), 20).alias("f"))
     return x.select("doc_id", "f.title", c("f.count").cast("long").alias("count"), "f.text")
 
 
@@ -412,23 +399,21 @@ def batch_summary(spark, folder):
 
 
 @query(
-    f"""select page_id as request, '读取 1/3 页成功，2 页失败' || chr(10) || chr(10) || '--- ' || t || ' (' || length(x) || ' 字符) ---' || chr(10) || x || chr(10) || chr(10) || '[失败] http://none.example.com/' || page_id || ' — HTTP 404 Not Found' || chr(10) || chr(10) || '[失败] ftp://x.example.com/ — Only http/https URLs are supported' as report
-    from (select page_id, url, {Q.title('html')} as t, {Q.body_text('html')} as x from pages) where length(x) <= 3000 and x <> ''"""
+    f"""select page_id as request, '读取 1/3 页成功，2 页失败' || chr(10) || chr(10) || '--- ' || coalesce(nullif(t, ''), url) || ' (' || length(x) || ' 字符) ---' || chr(10) || coalesce(nullif(x, ''), '(无可读内容)') || chr(10) || chr(10) || '[失败] http://none.example.com/' || page_id || ' — HTTP 404 Not Found' || chr(10) || chr(10) || '[失败] ftp://x.example.com/ — Only http/https URLs are supported' as report
+    from (select page_id, ' ' || url as url, t, {Q.sliced('x', 3000)} as x from (select page_id, url, {Q.title('html')} as t, {Q.body_text('html')} as x from pages))"""
 )
 def batch_report(spark, folder):
-    """Text forms of batch reads (of the requests whose page fits whole)."""
-    asked, pages = _requests(spark, folder)
-    fits = pages.filter(F.length(H.body_text(c("html"))).between(1, 3000)).select(c("page_id").alias("request"))
-    return read.batch_report(read.batch(asked.join(fits, "request", "left_semi"), pages))
+    """Text forms of batch reads."""
+    return read.batch_report(read.batch(*_requests(spark, folder)))
 
 
 @query(
-    f"""select page_id, (case when t <> '' then 'title: ' || t || chr(10) else '' end) || coalesce(nullif(l, '') || chr(10), '') || '(chars ' || length(x) || ')' || chr(10) || (case when x = '' then '(无可读内容 — 登录墙 / SPA 页 / 空页面；SPA 需安装 playwright)' || chr(10) else '' end) || chr(10) || x as report
-    from (select page_id, {Q.title('html')} as t, {Q.language('html')} as l, {Q.body_text('html')} as x from pages) where length(x) <= 6000"""
+    f"""select page_id, (case when t <> '' then 'title: ' || t || chr(10) else '' end) || coalesce(nullif(l, '') || chr(10), '') || (case when length(x) > length(s) then '(chars ' || length(s) || '/' || length(x) || ' · 截断 · offset 续读)' else '(chars ' || length(x) || ')' end) || chr(10) || (case when x = '' then '(无可读内容 — 登录墙 / SPA 页 / 空页面；SPA 需安装 playwright)' || chr(10) else '' end) || chr(10) || s as report
+    from (select *, {Q.sliced('x', 1500)} as s from (select page_id, {Q.title('html')} as t, {Q.language('html')} as l, {Q.body_text('html')} as x from pages))"""
 )
 def read_report(spark, folder):
-    """Text forms of single reads (of pages that fit whole)."""
-    r = read.read(read_pages(spark, folder)).filter("chars_total <= 6000")
+    """Text forms of single reads."""
+    r = read.read(read_pages(spark, folder), 1500)
     row = F.struct(*[c(x) for x in ("url", "title", "site_name", "lang", "mode", "truncated", "chars_total", "chars_returned", "chars_start", "text")], F.lit("").alias("published"), F.lit("").alias("author"), F.lit("utf-8").alias("charset"), F.lit(0).alias("feed_count"), F.lit(1).alias("pages"), F.lit(False).alias("rendered"), F.lit("").alias("spa_hint"), F.lit(None).cast("string").alias("error"))
     return r.select("page_id", row.alias("r")).select("page_id", render.result(c("r")).alias("report"))
 
@@ -458,25 +443,21 @@ def render_choice(spark, folder):
 
 
 @query(
-    f"""with p as (select page_id, left({Q.body_text('html')}, 400) as x from pages),
-    a as (select page_id, x as text, 1::bigint as n from p where page_id % 5 = 0),
+    f"""with p as (select page_id, {Q.body_text('html')} as x from pages),
+    a as (select page_id, x as text, 1::bigint as n from p),
     b as (select a.page_id, case when p.x is null then a.text else {Q.join_pages('a.text', 'p.x')} end as text, a.n + (p.x is not null)::bigint as n from a left join p on p.page_id = a.page_id + 1 and length(p.x) >= 20),
     d as (select b.page_id, case when p.x is null then b.text else {Q.join_pages('b.text', 'p.x')} end as text, b.n + (p.x is not null)::bigint as n from b left join p on p.page_id = b.page_id + 2 and length(p.x) >= 20 and b.n = 2)
     select 'http://chain.example.com/p/' || page_id as url, text, n as n_pages from d"""
 )
 def paginate(spark, folder):
-    """Chains of three pages, read from every fifth page on."""
+    """Every page joined with the two that follow it."""
     x = read_pages(spark, folder)
-    link = F.concat(F.lit("http://chain.example.com/p/"), c("page_id") + 1)
-    pages = x.select(F.concat(F.lit("http://chain.example.com/p/"), c("page_id")).alias("norm"), F.left(H.body_text(c("html")), F.lit(400)).alias("text"), link.alias("next"))
-    starts = x.filter("page_id % 5 = 0").select(F.concat(F.lit("http://chain.example.com/p/"), c("page_id")).alias("url"))
-    out = navigate.paginate(starts, pages, 3)
+    name = lambda i: F.concat(F.lit("http://chain.example.com/p/"), i.cast("string"))
+    pages = x.select(name(c("page_id")).alias("norm"), H.body_text(c("html")).alias("text"), name(c("page_id") + 1).alias("next"))
+    out = navigate.paginate(pages.select(c("norm").alias("url")), pages, 3)
     return out.select("url", "text", c("n_pages").cast("long").alias("n_pages"))
 
 
-_TREE = "page_id % 50"
-
-
 def _site(spark, folder):
     """Sites of fifty pages: page i of a site links to 3i+1, 3i+2, 3i+3, to itself, outside and to a picture."""
     url = lambda site, i: F.concat(F.lit("http://s"), site.cast("string"), F.lit(".example.com/"), i.cast("string"))

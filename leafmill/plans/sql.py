@@ -121,3 +121,15 @@ def join_pages(a: str, b: str) -> str:
     n = f"list_max(list_filter(range({V.OVERLAP_MIN}, least({V.OVERLAP_MAX}, length({a}), length({b})) + 1), lambda k: right({a}, k) = left({b}, k)))"
     rest = trim(f"substr({b}, coalesce({n}, 0) + 1)")
     return f"(case when {n} is null then {a} || chr(10) || chr(10) || {b} when {rest} = '' then {a} else {a} || chr(10) || chr(10) || {rest} end)"
+
+
+def sentences(x: str, limit: int) -> str:
+    """The first whole sentences that fit, else a hard cut."""
+    s = f"regexp_extract_all({x}, {lit(V.SENTENCE)})"
+    fits = f"list_filter({s}, lambda t, i: list_sum(list_transform({s}[1:i], lambda u: length(u))) <= {limit})"
+    return f"coalesce(nullif(array_to_string({fits}, ''), ''), left({x}, {limit}))"
+
+
+def sliced(x: str, limit: int) -> str:
+    """A slice from the start of a text without blank lines."""
+    return f"(case when length({x}) <= {limit} then {x} else {sentences(x, limit)} end)"
