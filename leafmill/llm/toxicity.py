@@ -106,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, key:
     Null ids and labels are left out; repeated labels of an id count as toxic
     if any does; of repeated documents of an id one text is used; null text is
     empty.  Without both classes the score is their smoothed share, and 0
-    without any label.
+    (next to nothing) without any label.
     """
     own = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1))
     if usable is not None:

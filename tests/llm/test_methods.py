@@ -1,0 +1,380 @@
+"""Operators against brute-force versions, round trips and held-out accuracy."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from math import log10
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from leafmill.llm import ann, decontam, dedup, hashing, licenses, lm, packing, pii, queries, secrets, sharding, toxicity
+from leafmill.llm.common import load
+
+MEDIUM = "/root/testdata/sf0.01"
+
+
+def texts(spark, folder=MEDIUM):
+    return {r.doc_id: r.text for r in load(spark, folder, "documents").select("doc_id", "text").collect()}
+
+
+# --- packing ---------------------------------------------------------------------------
+
+
+@given(st.integers(1, 2047))
+def test_cuts_fill_their_class(n):
+    cuts = packing.harmonic_cuts(n, 2048, 0.01)
+    assert sum(cuts) == n
+    assert all(2048 - (2048 // c) * c <= 0.01 * 2048 + 2048 // c for c in cuts)
+
+
+def test_tokenizer_gives_the_ids_of_the_json_file(spark, small):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    own = packing.tokenizer("byte_bpe_50k.tiktoken")
+    odd = ["", " ", "\n\n \t x", "don't I'LL we've", "a  b   c d", "😀é中文١٢", "<|endoftext|> x", "x" * 3000, "1 2 33 4444", "\x00\x1f", "'s's 'S", " 　 z"]
+    for x in [*odd, *texts(spark, small).values()]:
+        assert own.encode_to_numpy(x).tolist() == t.encode(x, add_special_tokens=False).ids
+
+
+def test_packing_is_an_exact_round_trip(spark):
+    docs = load(spark, MEDIUM, "documents")
+    rows = packing.pack(docs, ids=True).collect()
+    own, encode = defaultdict(list), packing.tokenizer("byte_bpe_50k.tiktoken")
+    for r in rows:
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        own[r.doc_id].append((r.start, r.ids))
+    for i, t in texts(spark).items():
+        assert sum((ids for _, ids in sorted(own[i])), []) == [*encode.encode_ordinary(t), 1]
+    used = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used[r.sequence_id]
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 2048
+    assert sum(used.values()) / sum(u if u & (u - 1) == 0 else 2048 for u in used.values()) > 0.98
+
+
+# --- sharding -----------------------------------------------------------------------------
+
+
+def test_growing_moves_rows_into_the_new_shard_only(spark):
+    keys = spark.range(20_000)
+    x = keys.select(sharding.rendezvous(F.col("id"), [1.0] * 9 + [3.0]).alias("a"), sharding.rendezvous(F.col("id"), [1.0] * 9 + [3.0, 1.0]).alias("b")).toPandas()
+    assert set(x.b[x.a != x.b]) == {10}
+    share = x.a.value_counts(normalize=True)
+    assert abs(share[9] - 3 / 12) < 0.02
+    assert abs(share[0] - 1 / 12) < 0.02
+
+
+# --- near-duplicates -------------------------------------------------------------------------
+
+
+def brute(a, b):
+    """Probability Jaccard similarity by its definition."""
+    x, y = dict(zip(*map(list, a))), dict(zip(*map(list, b)))
+    keys = set(x) | set(y)
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in keys) for i in set(x) & set(y))
+
+
+def test_similarity_by_definition():
+    rng = random.Random(5)
+    for _ in range(50):
+        make = lambda: {rng.randint(0, 12): 1 + rng.random() * rng.randint(0, 1) for _ in range(rng.randint(1, 10))}
+        a, b = ((np.array(sorted(d), np.uint64), np.array([d[k] for k in sorted(d)])) for d in (make(), make()))
+        assert dedup.similarity(a, b) == pytest.approx(brute(a, b))
+
+
+def test_registers_agree_with_the_probability_of_the_similarity():
+    rng = np.random.default_rng(1)
+    h = hashing.mix(np.arange(300, dtype=np.uint64))
+    w = 1 + rng.random(300)
+    a, b = np.arange(0, 240), np.arange(60, 300)
+    m = dedup.probminhash(np.repeat([0, 1], 240), np.concatenate([h[a], h[b]]), np.concatenate([w[a], w[b]]), 2, 4000)
+    order = lambda s: (np.sort(h[s]), w[s][np.argsort(h[s])])
+    assert (m[0] == m[1]).mean() == pytest.approx(dedup.similarity(order(a), order(b)), abs=0.03)
+
+
+def test_no_link_is_lost(spark):
+    own = texts(spark)
+    ids = list(own)
+    sets = []
+    for i in ids:
+        _, h, w = dedup.weighted([own[i].encode()], 5)
+        sets.append((h, w))
+    by = defaultdict(list)
+    for k, (h, _) in enumerate(sets):
+        for x in h.tolist():
+            by[x].append(k)
+    pairs = {(a, b) for ks in by.values() for n, b in enumerate(ks) for a in ks[:n]}
+    root = list(range(len(ids)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in pairs:
+        if own[ids[a]] == own[ids[b]] or dedup.similarity(sets[a], sets[b]) >= 0.8:
+            root[find(a)] = find(b)
+    want = defaultdict(list)
+    for k, i in enumerate(ids):
+        want[find(k)].append(i)
+    got = {r.doc_id: r.class_id for r in dedup.near_duplicates(load(spark, MEDIUM, "documents")).collect()}
+    assert {min(c): sorted(c) for c in want.values()} == {m: sorted(i for i in got if got[i] == m) for m in set(got.values())}
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(60).select(F.unhex(F.lpad(F.hex("id"), 4, "0")).alias("a"), F.unhex(F.lpad(F.hex(F.col("id") + 1), 4, "0")).alias("b"))
+    out = dedup.components(edges, "chain").collect()
+    assert len(out) == 61
+    assert {bytes(r.root) for r in out} == {b"\x00\x00"}
+
+
+# --- decontamination -----------------------------------------------------------------------------
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_wand_finds_all_above_the_threshold(data):
+    vocabulary = [f"w{i}" for i in range(30)]
+    items = [(k, " ".join(data.draw(st.lists(st.sampled_from(vocabulary), min_size=1, max_size=12)))) for k in range(data.draw(st.integers(1, 40)))]
+    index = decontam.build(items)
+    terms = sorted(data.draw(st.sets(st.integers(0, len(index.terms) - 1))))
+    threshold = data.draw(st.floats(0.05, 1.5))
+    scores = defaultdict(float)
+    for t in terms:
+        for k, v in zip(*index.lists[t][:2], strict=True):
+            scores[k] += v
+    got = decontam.wand(index, terms, threshold)
+    assert {k for k, _ in got} >= {k for k, v in scores.items() if v >= threshold}
+    assert {k for k, _ in got} <= {k for k, v in scores.items() if v >= threshold - 1e-6}
+    assert len({k for k, _ in got}) == len(got)
+
+
+def test_every_verbatim_leak_is_found(spark):
+    own = texts(spark)
+    items = {r.item_id: r.text for r in load(spark, MEDIUM, "benchmark").collect()}
+    want = {(i, k) for i, t in own.items() for k, x in items.items() if x in t}
+    rows = decontam.op4_decontamination(spark, MEDIUM).collect()
+    assert want
+    assert {(r.doc_id, r.item_id) for r in rows} == want
+    for r in rows:
+        middle = len(items[r.item_id]) // 2
+        assert items[r.item_id][middle : middle + 20] in own[r.doc_id][r.start : r.end]
+
+
+def test_changed_words_are_still_a_leak(spark):
+    item = " ".join(f"alpha{i} beta{i}" for i in range(12)) + ". The final answer is gamma delta."
+    words = item.split()
+    words[5] = "changed"
+    docs = spark.createDataFrame([(1, "lead in " * 50 + " ".join(words) + " tail" * 50), (2, "lead in " * 100), (3, " ".join(random.Random(1).sample(item.split(), len(item.split()))))], "doc_id long, text string")
+    others = [(k, " ".join(f"other{k}x{i}" for i in range(20)) + ".") for k in range(2, 30)]
+    tests = spark.createDataFrame([(1, item), *others], "item_id long, text string")
+    assert [r.doc_id for r in decontam.scan(docs, tests).collect()] == [1]
+
+
+# --- personal data ----------------------------------------------------------------------------------
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d)))
+    return {"email": True, "ip": all(len(p.lstrip("0")) <= 3 and p.isdigit() and int(p.lstrip("0") or 0) <= 255 for p in m.split(".")), "card": 16 <= len(d) <= 19 and total % 10 == 0, "phone": 8 <= len(d) <= 15}[kind]
+
+
+def base_of(t):
+    return ",".join(f"{k}:{m.start()}:{m.end()}" for k, p in PLAIN.items() for m in re.finditer(p, t) if plain(k, m.group()))
+
+
+def test_base_spans_are_those_of_the_plain_patterns(spark):
+    rng = random.Random(3)
+    bits = ["a", "b.", "_", "@", ".", "com", "1", "23", "255", "4279055890764913", "-", " ", "+", "(", ")", "é", "😀", "\n", "%", "1.2.3.4", "+1 (644) 555-7859", "x@y.zz", "9", "0"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 60)))) for i in range(3000)]
+    rows += [(3001, "1" * 50_000), (3002, "a" * 50_000 + "@"), (3003, "a@b.c " * 500), (3004, "1 " * 20_000), (3005, "+1" + " " * 20_000), (3006, "004.1.2.3 0001.255.256.1 1.2.3.4.5.6.7.8")]
+    out = pii.detect(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), extra=[F.col("doc_id")])
+    got = {r.doc_id: r.b for r in out.select("doc_id", pii.listed(F.col("base")).alias("b")).collect()}
+    assert got == {i: base_of(t) for i, t in rows}
+
+
+def test_spans_keep_the_base_and_add_to_it(spark):
+    own = texts(spark)
+    for r in pii.op5_pii(spark, MEDIUM).collect():
+        base = base_of(own[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(base.count(k + ":") for k in PLAIN)
+
+
+def test_neighbouring_numbers_are_told_apart(spark):
+    rows = [(i, f"call +1 (269) 555-3296 4524132264652876 and {i}") for i in range(40)] + [(i, f"mail x{i}@example.com card 4279055890764913") for i in range(40, 80)]
+    out = pii.detect(spark.createDataFrame(rows, "doc_id long, text string"), extra=[F.col("doc_id")])
+    spans = {r.doc_id: r.s for r in out.select("doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
+    assert spans[0] == "card:23:39,phone:5:22"
+
+
+def test_reliabilities_favour_agreement():
+    counts = {(0, False, (1, 1, 1, 1), 4): 100.0, (0, False, (-1, 0, 0, -1), 4): 100.0, (0, False, (1, -1, 1, 1), 4): 10.0}
+    post, right = pii.reliabilities(counts)
+    assert post[0, False, (1, 1, 1, 1), 4] > 0.9
+    assert post[0, False, (-1, 0, 0, -1), 4] < 0.2
+    assert right[0, 0] > right[0, 1]
+
+
+# --- secrets, licenses ----------------------------------------------------------------------------------
+
+
+def test_forest_tells_secrets_apart_on_unseen_findings(spark):
+    model = secrets.train(secrets.labelled(spark, 60))
+    unseen = secrets.labelled(spark, 120).withColumn("n", F.monotonically_increasing_id())
+    rows = unseen.select("n", "label", F.concat(F.lit("the "), "before", "value", F.lit(" end")).alias("text"))
+    found = secrets.scan(rows, model, key="n").groupBy("n").agg(F.max(F.col("secret").cast("int")).alias("secret"))
+    out = rows.join(found, "n", "left").fillna(0).toPandas()
+    assert ((out.secret == 1) == (out.label == 1)).mean() > 0.95
+
+
+def test_planted_secrets(spark):
+    own = texts(spark)
+    pattern = re.compile(r"AKIA[A-Z0-9]{16}|(?<=password=)[0-9a-f]{18}|(?<=token = \")[0-9a-f]{40}")
+    want = {(i, m.start(), m.end()) for i, t in own.items() for m in pattern.finditer(t)}
+    got = {(r.doc_id, r.start, r.end) for r in secrets.op6_secrets(spark, MEDIUM).filter("secret").collect()}
+    assert want
+    assert want <= got
+
+
+def test_planted_licenses(spark):
+    own = texts(spark)
+    rows = licenses.op2_license_scan(spark, MEDIUM).collect()
+    for name, line in licenses.TEMPLATES[:6]:
+        got = {r.doc_id for r in rows if r.license == name and r.coverage == 1}
+        assert got == {i for i, t in own.items() if line.strip(".") in t}
+
+
+def test_edited_license_is_aligned():
+    text = dict(licenses.TEMPLATES)["mit"].split()
+    edited = text[:20] + ["two", "more"] + text[20:40] + text[43:]
+    edited[10] = "changed"
+    lead = "some other words " * 40
+    found = [x for x in licenses.find(licenses.index(licenses.TEMPLATES), [(lead + " ".join(edited) + " and so on" * 30).encode()], 0.8) if licenses.TEMPLATES[x[1]][0] == "mit"]
+    assert len(found) == 1
+    assert found[0][2] > 0.93
+    assert found[0][4] == len(lead)
+
+
+@given(st.lists(st.integers(0, 1000), min_size=5, max_size=60))
+def test_winnowing_leaves_no_window_without_a_print(values):
+    at = licenses.winnow(np.array(values, np.uint64), 4)
+    assert all(any(i <= p < i + 4 for p in at.tolist()) for i in range(len(values) - 3))
+
+
+# --- classifiers and models --------------------------------------------------------------------------------
+
+
+def test_toxicity_on_the_held_out_fold(spark):
+    folder = "/root/testdata/sf0.1"
+    out = toxicity.op7_toxicity(spark, folder).filter("held_out").join(load(spark, folder, "labels").select("doc_id", "toxic"), "doc_id").toPandas()
+    hit = ((out.predicted == 1) & (out.toxic == 1)).sum()
+    assert hit / out.toxic.sum() > 0.85
+    assert hit / out.predicted.sum() > 0.85
+
+
+def test_base_scores_by_definition(spark):
+    cut = lambda t: ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", t)] + [""]
+    own = {i: cut(t) for i, t in texts(spark).items()}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in own}
+    c = Counter(w for i, ws in own.items() if not held[i] for w in ws)
+    n, v = sum(c.values()), len(c)
+    rows = lm.op8_backoff_lm(spark, MEDIUM).collect()
+    for r in rows:
+        ws = own[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(ws), sum(c[w] > 0 for w in ws), n)
+        assert r.base_score == pytest.approx(sum(log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), rel=1e-12)
+    assert sum(r.score - r.base_score for r in rows if r.held_out) > 0
+
+
+def test_automaton_is_a_distribution():
+    rng = random.Random(2)
+    stream = [rng.choice("aabbbc") for _ in range(400)]
+    c = Counter([*stream, *[""] * 10])
+    common = sorted(c.items(), key=lambda r: (-r[1], r[0]))
+    ids = {w: i for i, (w, _) in enumerate(common)}
+    x = [ids[w] for w in stream]
+    pairs = {k: n for k, n in Counter(zip(x, x[1:], strict=False)).items() if n > 1}
+    triples = {k: n for k, n in Counter(zip(x, x[1:], x[2:], strict=False)).items() if n > 1}
+    m = lm.build(common, pairs, triples, sum(c.values()), len(c))
+    unknown = log10(0.1 / (sum(c.values()) + 0.1 * (len(c) + 1)))
+    for s in range(len(m.arcs)):
+        m.begin = s
+        # a word without an id adds what the failure arcs cost; its own probability comes from the unigrams
+        total = sum(10 ** m.traverse([w]) for w in range(len(common))) + 10 ** (m.traverse([-1]) + unknown)
+        assert total == pytest.approx(1, abs=1e-9)
+
+
+# --- nearest neighbours -----------------------------------------------------------------------------------------
+
+
+def test_probes_come_in_order_and_once():
+    place = np.random.default_rng(3).random(6)
+    sets = ann.perturbations(place, 10_000)
+    assert len(sets) == len(set(map(frozenset, sets))) == 3**6
+    cost = [sum((1 - place[m // 2]) ** 2 if m % 2 else place[m // 2] ** 2 for m in s) for s in sets]
+    assert cost == sorted(cost) or np.allclose(cost, sorted(cost))
+
+
+def test_recall_against_brute_force(spark):
+    e = load(spark, MEDIUM, "embeddings").toPandas()
+    x, ids = np.stack(e.embedding).astype("f8"), e.vec_id.to_numpy()
+    got = defaultdict(dict)
+    for r in ann.op9_multiprobe_search(spark, MEDIUM).collect():
+        got[r.query_id][r["rank"]] = (r.vec_id, r.score)
+    hits = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        s = (x * x[i]).sum(axis=1)
+        true = [k for k in np.lexsort((ids, -s)) if k != i][:20]
+        own = got[ids[i]]
+        assert sorted(own) == list(range(1, 21))
+        hits += len({v for v, _ in own.values()} & set(ids[true].tolist()))
+        for v, score in own.values():
+            assert score == pytest.approx(s[np.flatnonzero(ids == v)[0]], rel=1e-12)
+    assert hits / (20 * len(got)) >= 0.9
+
+
+# --- pipeline ---------------------------------------------------------------------------------------------------
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark, small):
+    """The stages' decisions, remade one document at a time, lead to the same packed ids."""
+    docs = load(spark, small, "documents")
+    out = corpus_pipeline.run(spark, small).collect()
+    model = toxicity.train(docs, load(spark, small, "labels"), F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    own = {i: t for i, t in texts(spark, small).items() if model.score(t) < 0.3}
+    sets = {i: dedup.weighted([t.encode()], 5)[1:] for i, t in own.items()}
+    root = {i: i for i in own}
+    for i in own:
+        for j in own:
+            if j < i and (own[i] == own[j] or dedup.similarity(sets[i], sets[j]) >= 0.8):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    items = [r.text for r in load(spark, small, "benchmark").collect()]
+    kept = {i: t for i, t in own.items() if root[i] == i and not any(x in t for x in items)}
+    assert {r.doc_id for r in out} == set(kept)
+    encode = packing.tokenizer("byte_bpe_50k.tiktoken")
+    sizes = {r.doc_id: r.doc_tokens for r in out}
+    clean = [i for i, t in kept.items() if not re.search("[0-9@]", t)]
+    assert clean
+    assert all(sizes[i] == len(encode.encode_ordinary(kept[i])) + 1 for i in clean)
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near-duplicates", "decontamination", "pii", "packing"]
