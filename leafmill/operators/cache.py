@@ -11,27 +11,35 @@ from pyspark.sql import functions as F
 from leafmill.functions import values as V
 
 
-def replay(requests: DataFrame, key: str, at: str, order: str, ttl_s: float = V.CACHE_TTL_S) -> DataFrame:
-    """``requests`` with ``cached``: whether the entry stored by the last miss of the key is younger than the TTL.
+def answer(stored_until: int | None, at: int, good: bool, ttl_us: int, failure_us: int) -> tuple[bool, int]:
+    """(hit, end of the entry) for one request: a hit leaves the entry as it is, a miss stores its outcome."""
+    if stored_until is not None and at < stored_until:
+        return True, stored_until
+    return False, at + (ttl_us if good else failure_us)
 
-    A hit doesn't refresh an entry.  The state of a key is one time, carried
-    through its rows in order, so no group is held in memory.
+
+def replay(requests: DataFrame, key: str, at: str, order: str, ttl_s: float = V.CACHE_TTL_S, ok: str | None = None, failure_s: float = V.FAILURE_TTL_S) -> DataFrame:
+    """``requests`` with ``cached``: whether the entry stored by the key's last miss is still alive.
+
+    Failures (``ok`` false) live for their own, shorter time.  A hit doesn't
+    refresh an entry.  A key's state is one time, carried through its rows in
+    order, so no group is held in memory.  The number of entries isn't bounded.
     """
-    rows = requests.withColumn("_key", F.col(key).cast("string")).withColumn("_us", F.unix_micros(F.col(at).cast("timestamp")))
+    good = F.coalesce(F.col(ok), F.lit(False)) if ok else F.lit(True)
+    rows = requests.withColumns({"_key": F.col(key).cast("string"), "_us": F.unix_micros(F.col(at).cast("timestamp")), "_ok": good})
     rows = rows.repartition("_key").sortWithinPartitions("_key", "_us", order)
+    times = int(ttl_s * 1_000_000), int(failure_s * 1_000_000)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, stored = None, None
+        current, until = None, None
         for pdf in batches:
             hits = []
-            for k, t in zip(pdf["_key"], pdf["_us"], strict=True):
+            for k, t, g in zip(pdf["_key"], pdf["_us"], pdf["_ok"], strict=True):
                 if k != current:
-                    current, stored = k, None
-                hit = stored is not None and t - stored < ttl_s * 1_000_000
-                if not hit:
-                    stored = t
+                    current, until = k, None
+                hit, until = answer(until, t, g, *times)
                 hits.append(hit)
-            yield pdf.drop(columns=["_key", "_us"]).assign(cached=hits)
+            yield pdf.drop(columns=["_key", "_us", "_ok"]).assign(cached=hits)
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
     return rows.mapInPandas(run, f"{names}, cached boolean")

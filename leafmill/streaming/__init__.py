@@ -1,0 +1 @@
+"""The same reads on streams of arriving pages and requests."""
