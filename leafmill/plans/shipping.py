@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -20,6 +21,7 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(app)
     root = os.path.dirname(os.path.dirname(os.path.abspath(leafmill.__file__)))
-    with tempfile.TemporaryDirectory() as folder:
-        # the file server keeps a copy of its own
-        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/leafmill", "zip", root, "leafmill"))
+    # the driver serves the archive from where it lies, for as long as it runs
+    folder = tempfile.mkdtemp(prefix="leafmill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/leafmill", "zip", root, "leafmill"))
