@@ -43,3 +43,50 @@ def replay(requests: DataFrame, key: str, at: str, order: str, ttl_s: float = V.
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
     return rows.mapInPandas(run, f"{names}, cached boolean")
+
+
+class _Store:
+    """Entries in order of their first storing; storing into a full store drops the oldest, whatever the key."""
+
+    def __init__(self, most: int, life_us: int):
+        self.most, self.life, self.entries = most, life_us, {}
+
+    def alive(self, key: str, at: int) -> bool:
+        return key in self.entries and at - self.entries[key] < self.life
+
+    def put(self, key: str, at: int) -> None:
+        if len(self.entries) >= self.most:
+            del self.entries[next(iter(self.entries))]
+        self.entries[key] = at
+
+
+def replay_sessions(requests: DataFrame, session: str, key: str, at: str, order: str, ok: str, ttl_s: float = V.CACHE_TTL_S, most: int = 32, failure_s: float = V.FAILURE_TTL_S, most_failures: int = 8) -> DataFrame:
+    """``requests`` with ``cached`` (null, 'page' or 'error'), each session with two bounded stores of its own.
+
+    Failures are looked up first, and leave their store when found stale.  A
+    session's state is at most ``most + most_failures`` entries, carried
+    through its rows in order.
+    """
+    rows = requests.withColumns({"_s": F.col(session).cast("string"), "_k": F.col(key).cast("string"), "_us": F.unix_micros(F.col(at).cast("timestamp")), "_ok": F.coalesce(F.col(ok), F.lit(False))})
+    rows = rows.repartition("_s").sortWithinPartitions("_s", "_us", order)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, pages, errors = object(), None, None
+        for pdf in batches:
+            out = []
+            for s, k, t, good in zip(pdf["_s"], pdf["_k"], pdf["_us"], pdf["_ok"], strict=True):
+                if s != current:
+                    current, pages, errors = s, _Store(most, int(ttl_s * 1_000_000)), _Store(most_failures, int(failure_s * 1_000_000))
+                if errors.alive(k, t):
+                    out.append("error")
+                    continue
+                errors.entries.pop(k, None)
+                if pages.alive(k, t):
+                    out.append("page")
+                    continue
+                (pages if good else errors).put(k, t)
+                out.append(None)
+            yield pdf.drop(columns=["_s", "_k", "_us", "_ok"]).assign(cached=pd.Series(out, index=pdf.index, dtype=object))
+
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
+    return rows.mapInPandas(run, f"{names}, cached string")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions import values as V
+from leafmill.functions.html import looks_like_challenge, looks_like_spa
 from leafmill.functions.urls import fetchable_scheme, normalize
 from leafmill.operators.decode import looks_binary
 
@@ -55,18 +56,34 @@ def race(attempts: DataFrame, key: str, latency: str, ok: str, values: list[str]
     return out.select(key, F.col("b").isNotNull().alias("won"), *[F.col(f"b.{v}").alias(v) for v in values], F.when(F.col("b").isNull(), F.transform("f", lambda x: x[values[0]])).alias("errors"))
 
 
+def retried(status: Column, retry_after: Column) -> Column:
+    """Whether a first attempt is made once more: too many requests or unavailable, with a wait that can be read."""
+    return F.coalesce(status.isin(429, 503) & retry_after_ms(retry_after).isNotNull(), F.lit(False))
+
+
+def second_chance(first: Column, second: Column, status: Column, retry_after: Column) -> Column:
+    """The second attempt where the first is retried, else the first."""
+    return F.when(retried(status, retry_after), second).otherwise(first)
+
+
 def needs_render(html: Column, text: Column) -> Column:
     """Whether a static read is thin enough, and scripted enough, to be rendered."""
-    from leafmill.functions.html import looks_like_spa
-
     scripted = html.rlike("(?i)<script")
     return ((text == "") | (F.length(text) < V.ARTICLE_MIN)) & (looks_like_spa(html) | ((text == "") & scripted))
 
 
 def accept_render(text: Column, rendered_html: Column, rendered_text: Column) -> Column:
     """Whether a rendered read replaces the static one: no challenge page, and enough more text."""
-    from leafmill.functions.html import looks_like_challenge
-
     gain = F.length(rendered_text) - F.length(text)
     better = (gain > 50) | ((text == "") & (F.length(rendered_text) >= 20))
     return F.coalesce(~looks_like_challenge(rendered_html) & ~looks_like_challenge(rendered_text) & better, F.lit(False))
+
+
+def needs_rendered_links(html: Column, n_links: Column) -> Column:
+    """Whether a page shows so few links, and so many scripts, that its rendering is asked for links."""
+    return F.coalesce((n_links < 3) & (looks_like_spa(html) | ((n_links == 0) & html.rlike("(?i)<script"))), F.lit(False))
+
+
+def accept_rendered_links(n_links: Column, rendered_html: Column, n_rendered: Column) -> Column:
+    """Whether a rendering's links replace the static ones: more of them, and no challenge page."""
+    return F.coalesce((n_rendered > n_links) & ~looks_like_challenge(rendered_html), F.lit(False))

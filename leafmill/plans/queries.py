@@ -386,6 +386,29 @@ def cache_replay(spark, folder):
     return cache.replay(x, "k", "ts", "event_id", 3600).select("event_id", "cached")
 
 
+@query()
+def cache_sessions(spark, folder):
+    """Answers of bounded caches, one for each of fifty sessions."""
+    x = table(spark, folder, "events").select("event_id", "user_id", (c("event_id") % 7).alias("page"), "ts", (c("event_type") != "error").alias("ok"))
+    return cache.replay_sessions(x, "user_id", "page", "ts", "event_id", "ok", 86_400, 3, 3_600, 2).select("event_id", "cached")
+
+
+@query("select page_id, (n < 3 and (page_id % 7 >= 5 or (n = 0 and page_id % 7 >= 1))) as needs, (m > n and page_id % 5 <> 0) as accepts from (select page_id, page_id % 4 as n, page_id % 6 as m from pages)")
+def rendered_links(spark, folder):
+    """Which pages' links are taken from a rendering."""
+    n, m = c("page_id") % 4, c("page_id") % 6
+    scripts, challenge = F.expr("repeat('<script>', cast(page_id % 7 as int))"), F.when(c("page_id") % 5 == 0, "just a moment").otherwise("<p>")
+    return read_pages(spark, folder).select("page_id", fetch.needs_rendered_links(scripts, n).alias("needs"), fetch.accept_rendered_links(n, challenge, m).alias("accepts"))
+
+
+@query("select event_id, (case when event_id % 3 in (1, 2) and event_id % 2 = 0 then 'second' else 'first' end) as taken from events")
+def second_attempt(spark, folder):
+    """Which attempt counts, by status and Retry-After."""
+    status = F.expr("case event_id % 3 when 0 then 200 when 1 then 429 else 503 end")
+    wait = F.expr("case event_id % 2 when 0 then '1' else 'later' end")
+    return table(spark, folder, "events").select("event_id", fetch.second_chance(F.lit("first"), F.lit("second"), status, wait).alias("taken"))
+
+
 def _requests(spark, folder):
     pages = read_pages(spark, folder)
     # each page asks for itself, for a page that isn't there, for what isn't a page, and for nothing

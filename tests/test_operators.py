@@ -1,7 +1,10 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from leafmill.config import Settings
 from leafmill.operators import cache, fetch, navigate
+from leafmill.plans import read
 
 
 def test_settings_are_clamped():
@@ -51,3 +54,22 @@ def test_paginate_stops_at_loops_and_other_hosts(spark):
     pages = spark.createDataFrame(rows, "norm string, text string, next string")
     out = {r.url[-1]: (r.text, r.n_pages) for r in navigate.paginate(pages.filter("norm like '%e.example%'").selectExpr("norm as url"), pages, 5).collect()}
     assert out == {"1": ("a" * 25 + "\n\n" + "b" * 25, 2), "2": ("b" * 25 + "\n\n" + "a" * 25, 2), "9": ("c" * 25, 1)}
+
+
+def test_session_stores_are_bounded(spark):
+    at = datetime(2024, 1, 1)
+    keys = [("a", True), ("b", True), ("a", True), ("c", True), ("a", True), ("b", True), ("x", False), ("x", True), ("y", False), ("z", False), ("x", True)]
+    rows = [("s", k, at + timedelta(seconds=i), i, good) for i, (k, good) in enumerate(keys)]
+    out = cache.replay_sessions(spark.createDataFrame(rows, "s string, k string, ts timestamp, i int, ok boolean"), "s", "k", "ts", "i", "ok", most=2, most_failures=2)
+    got = {r.i: r.cached for r in out.collect()}
+    # c drops a, then a drops b, then b drops c; z drops x
+    assert [got[i] for i in range(11)] == [None, None, "page", None, None, None, None, "error", None, None, None]
+
+
+def test_reads_by_content_type(spark):
+    rows = [("http://e.example.com/a", '{"b": 1, "a": [1, 2.0]}', "application/json"), ("http://e.example.com/f", "<rss ><title>F</title><item><title>A</title></item></rss>", "application/rss+xml"), ("http://e.example.com/h", "<title>T</title><article ><h1>Head</h1><p>Text <b>bold</b></p></article>", "text/html")]
+    pages = spark.createDataFrame(rows, "url string, html string, type string")
+    docs = {r.url[-1]: (r.kind, r.title, r.text, r.mode) for r in read.documents(pages, "markdown", 5, F.col("type")).collect()}
+    assert docs == {"a": ("json", "", '{"b":1,"a":[1,2]}', "json"), "f": ("feed", "F", "- A", "feed"), "h": ("html", "T", "# Head\n\nText **bold**", "markdown")}
+    cut = {r.url[-1]: (r.text, r.truncated, r.site_name) for r in read.read(pages.drop("type"), 6, mode="markdown").filter("url like '%/h'").collect()}
+    assert cut == {"h": ("# Head", True, "e.example.com")}
