@@ -54,6 +54,8 @@ CUES = {
 }
 AGAINST = r"(?i)\b(?:version|v|release|isbn|order|invoice|serial|section|figure|no)\W*$"
 LABELERS = ("check", "gazetteer", "context", "edges")
+#: First guess, least and largest reliability of each labeler; a failed checksum outweighs any two of the others.
+TRUST = ((0.98, 0.95, 0.995), (0.7, 0.55, 0.8), (0.7, 0.55, 0.9), (0.7, 0.55, 0.8))
 
 
 def digits(m: Column) -> Column:
@@ -125,9 +127,9 @@ def reliabilities(counts: dict[tuple, float], rounds: int = 50) -> tuple[dict, d
 
     ``counts``: (kind, base, votes, shape) -> spans.  Spans of a kind are true
     with an unknown share; a labeler that votes is right with its own
-    probability (0.8 at first, 2 votes of each sort added to what is counted).
+    probability, within the bounds of TRUST, which fix what true means.
     """
-    right = {(k, i): 0.8 for k in range(len(KINDS)) for i in range(len(LABELERS))}
+    right = {(k, i): TRUST[i][0] for k in range(len(KINDS)) for i in range(len(LABELERS))}
     prior = {k: 0.7 for k in range(len(KINDS))}
     post: dict[tuple, float] = {}
     for _ in range(rounds):
@@ -141,8 +143,7 @@ def reliabilities(counts: dict[tuple, float], rounds: int = 50) -> tuple[dict, d
             for i in range(len(LABELERS)):
                 good = sum(c * (post[p] if p[2][i] > 0 else 1 - post[p]) for p, c in own if p[2][i])
                 all_ = sum(c for p, c in own if p[2][i])
-                # a labeler is held to be better than chance, which fixes what true means
-                right[k, i] = min(0.98, max(0.55, (good + 4) / (all_ + 5)))
+                right[k, i] = min(TRUST[i][2], max(TRUST[i][1], (good + 4) / (all_ + 5)))
     return post, right
 
 
