@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leafmill.functions import values as V
 from leafmill.functions.urls import host_of
 
 
@@ -48,7 +49,7 @@ def result(r: Column, links: Column | None = None) -> Column:
         _when(r["pages"] > 1, "已拼接", n("pages"), "页"),
         F.when(r["rendered"], "rendered"),
     )
-    hint = F.when((r["chars_start"] > 0) & ~r["truncated"], "(offset 已到文末，无更多内容)").otherwise(F.concat(F.lit("(无可读内容 — "), F.coalesce(some(r["spa_hint"]), F.lit("登录墙 / SPA 页 / 空页面；SPA 需安装 playwright")), F.lit(")")))
+    hint = F.when((r["chars_start"] > 0) & ~r["truncated"], V.HINT_END).otherwise(F.concat(F.lit("(无可读内容 — "), F.coalesce(some(r["spa_hint"]), F.lit(V.HINT_EMPTY)), F.lit(")")))
     shown = F.concat_ws(
         "\n",
         _when(r["title"] != "", "title: ", r["title"]),
@@ -73,7 +74,7 @@ def batch_head(ok: Column, total: Column) -> Column:
 
 
 def batch_page(url: Column, title: Column, text: Column, error: Column) -> Column:
-    good = F.concat(F.lit("\n--- "), F.coalesce(some(title), url), F.lit(" ("), F.length(text).cast("string"), F.lit(" 字符) ---\n"), F.coalesce(some(text), F.lit("(无可读内容)")))
+    good = F.concat(F.lit("\n--- "), F.coalesce(some(title), url), F.lit(" ("), F.length(text).cast("string"), F.lit(" 字符) ---\n"), F.coalesce(some(text), F.lit(V.NOTHING)))
     return F.when(error.isNotNull(), F.concat(F.lit("\n[失败] "), url, F.lit(" — "), error)).otherwise(good)
 
 

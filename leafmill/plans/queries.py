@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,13 @@ c = F.col
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            out = f(spark, folder)
+            # counts and lengths have one type in the results, that of their SQL
+            return out.withColumns({n: c(n).cast("long") for n, kind in out.dtypes if kind == "int"})
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLES[f.__name__] = sql
         return f
@@ -422,7 +429,7 @@ def batch_summary(spark, folder):
 
 
 @query(
-    f"""select page_id as request, '读取 1/3 页成功，2 页失败' || chr(10) || chr(10) || '--- ' || coalesce(nullif(t, ''), url) || ' (' || length(x) || ' 字符) ---' || chr(10) || coalesce(nullif(x, ''), '(无可读内容)') || chr(10) || chr(10) || '[失败] http://none.example.com/' || page_id || ' — HTTP 404 Not Found' || chr(10) || chr(10) || '[失败] ftp://x.example.com/ — Only http/https URLs are supported' as report
+    f"""select page_id as request, '读取 1/3 页成功，2 页失败' || chr(10) || chr(10) || '--- ' || coalesce(nullif(t, ''), url) || ' (' || length(x) || ' 字符) ---' || chr(10) || coalesce(nullif(x, ''), '{V.NOTHING}') || chr(10) || chr(10) || '[失败] http://none.example.com/' || page_id || ' — HTTP 404 Not Found' || chr(10) || chr(10) || '[失败] ftp://x.example.com/ — Only http/https URLs are supported' as report
     from (select page_id, ' ' || url as url, t, {Q.sliced('x', 3000)} as x from (select page_id, url, {Q.title('html')} as t, {Q.body_text('html')} as x from pages))"""
 )
 def batch_report(spark, folder):
@@ -431,7 +438,7 @@ def batch_report(spark, folder):
 
 
 @query(
-    f"""select page_id, (case when t <> '' then 'title: ' || t || chr(10) else '' end) || coalesce(nullif(l, '') || chr(10), '') || (case when length(x) > length(s) then '(chars ' || length(s) || '/' || length(x) || ' · 截断 · offset 续读)' else '(chars ' || length(x) || ')' end) || chr(10) || (case when x = '' then '(无可读内容 — 登录墙 / SPA 页 / 空页面；SPA 需安装 playwright)' || chr(10) else '' end) || chr(10) || s as report
+    f"""select page_id, (case when t <> '' then 'title: ' || t || chr(10) else '' end) || coalesce(nullif(l, '') || chr(10), '') || (case when length(x) > length(s) then '(chars ' || length(s) || '/' || length(x) || ' · 截断 · offset 续读)' else '(chars ' || length(x) || ')' end) || chr(10) || (case when x = '' then '(无可读内容 — {V.HINT_EMPTY})' || chr(10) else '' end) || chr(10) || s as report
     from (select *, {Q.sliced('x', 1500)} as s from (select page_id, {Q.title('html')} as t, {Q.language('html')} as l, {Q.body_text('html')} as x from pages))"""
 )
 def read_report(spark, folder):
