@@ -13,9 +13,9 @@ Every run sends a Poisson process of arrivals, with its weight as the rate, to
 random registers; a register keeps the run that came first, so that two
 documents agree in a register with probability J.  Arrivals end once none can
 be early enough.  Bands of registers become bucket keys.  A bucket isn't
-expanded into pairs: its members are compared with few representatives, which
-differ from band to band, first with the same ones all over, then, where that
-left them apart, with others.
+expanded into pairs: its members are compared with few representatives, first
+with the one that meets the most texts over all bands, then, where that left
+them apart, with two others, which differ from band to band.
 """
 
 from __future__ import annotations
@@ -173,11 +173,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     # equal texts become one node before anything is exploded
     nodes = made.filter(F.size("bands") > 0).groupBy("fp").agg(F.first("bands").alias("bands"))
     keys = written(nodes.select("fp", F.explode("bands").alias("key")), "bands")
-    # two representatives of each bucket: the smallest hash over all bands, and those of one band's own order
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = written(keys.join(sizes, "key"), "shared")
+    # who meets the most texts over all bands is nearest to the middle of its group, so that the others link to it
+    degree = shared.groupBy("fp").agg(F.sum("n").alias("d"))
+    shared = shared.join(degree, "fp")
     mine = F.xxhash64("fp", "key")
-    heads = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("r0"), F.min_by("fp", mine).alias("r1"), F.max_by("fp", mine).alias("r2")).filter("n > 1").drop("n")
-    met = written(keys.join(heads, "key"), "met")
-    pair = lambda r: met.filter(F.col("fp") != F.col(r)).select(F.greatest("fp", r).alias("a"), F.least("fp", r).alias("b"))
+    heads = shared.groupBy("key").agg(F.max_by("fp", F.struct("d", "fp")).alias("r0"), F.min_by("fp", mine).alias("r1"), F.max_by("fp", mine).alias("r2"))
+    met = written(shared.select("fp", "key").join(heads, "key"), "met")
+    pair = lambda r: met.filter(F.col("fp") != F.col(r)).select(F.col("fp").alias("a"), F.col(r).alias("b"))
     first = written(pair("r0").distinct(), "pairs-0")
     held = written(first.select(F.col("a").alias("fp")).union(first.select("b")).distinct(), "held")
     texts = written(ids.select("fp", "text").join(checked(held), "fp", "left_semi").groupBy("fp").agg(F.first("text").alias("text")), "texts")
