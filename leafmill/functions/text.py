@@ -73,7 +73,10 @@ def _joined(a: Column, b: Column) -> Column:
         rest = trim(F.substring(b, F.coalesce(n, F.lit(0)) + 1, F.length(b)))
         return F.when(n.isNull(), F.concat(a, F.lit("\n\n"), b)).when(rest == "", a).otherwise(F.concat(a, F.lit("\n\n"), rest))
 
-    return let(F.array_max(F.filter(sizes, lambda k: F.right(a, k) == F.left(b, k))), joined)
+    # only the ends can overlap, so only they are compared
+    ends = F.struct(F.right(a, F.lit(V.OVERLAP_MAX)).alias("a"), F.left(b, F.lit(V.OVERLAP_MAX)).alias("b"))
+    overlap = let(ends, lambda e: F.array_max(F.filter(sizes, lambda k: F.right(e["a"], k) == F.left(e["b"], k))))
+    return let(overlap, joined)
 
 
 def xml_text(c: Column) -> Column:

@@ -16,8 +16,10 @@ def paginate(starts: DataFrame, pages: DataFrame, most: int = 3, least_chars: in
 
     ``pages`` has norm, text and next (a URL or null); ``starts`` has url.
     A hop needs the same host, a page not seen in this chain and enough text;
-    ``most`` counts the first page.  Unrolled as ``most - 1`` left joins.
+    ``most`` counts the first page.  Unrolled as ``most - 1`` left joins of the
+    checkpointed pages.
     """
+    pages = cut(pages.select("norm", "text", "next"))  # read once, however many hops follow
     page = lambda: pages.select(F.col("norm").alias("at"), F.col("text").alias("more"), F.col("next").alias("then"))
     out = starts.select("url", normalize(F.col("url")).alias("at")).join(page(), "at").select("url", F.array("at").alias("seen"), F.col("more").alias("text"), F.col("then").alias("next"), F.lit(1).alias("n_pages"))
     for _ in range(most - 1):
