@@ -141,21 +141,24 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(fp, root) for every node of the edges (a, b): the smallest fp of its connected component.
 
-    Each round takes the smallest root among the neighbours, then the root's
-    own root; both halve the distance to go, and every round is a written
-    table, so rounds are few and lineage is short.
+    Large and small stars in turn: every node hands the smallest of its
+    neighbours to the larger ones, then to the smaller ones.  Rounds grow with
+    the logarithm of the component, whatever the order of its ids; they end
+    when every edge leads to a root.  Every round is a written table.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).filter("a != b").distinct(), f"{name}-edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("n")).select(F.col("a").alias("fp"), F.least("a", "n").alias("root")), f"{name}-0")
-    for k in range(1, 200):
-        near = both.join(labels.select(F.col("fp").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("n"))
-        step = labels.join(near.withColumnRenamed("a", "fp"), "fp").select("fp", F.least("root", "n").alias("next"), F.col("root").alias("was"))
-        up = labels.select(F.col("fp").alias("next"), F.col("root").alias("up"))
-        now = written(step.join(up, "next").select("fp", F.least("next", "up").alias("root"), "was"), f"{name}-{k}")
-        labels = now.select("fp", "root")
-        if now.filter("root != was").isEmpty():
-            return labels
-    raise RuntimeError("the components did not settle")
+    tree = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), f"{name}-edges")
+    k = 0
+    while True:
+        k += 1
+        both = tree.union(tree.select("b", "a"))
+        low = both.groupBy("a").agg(F.min("b").alias("n")).select("a", F.least("a", "n").alias("n"))
+        large = written(both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("n").alias("b")).distinct(), f"{name}-large-{k}")
+        low = large.groupBy("a").agg(F.min("b").alias("n"))
+        small = large.join(low, "a").filter("b > n").select(F.col("b").alias("a"), F.col("n").alias("b")).union(low)
+        tree = written(small.distinct(), f"{name}-small-{k}")
+        roots = tree.select(F.col("b").alias("root")).distinct()
+        if tree.join(roots, tree["a"] == roots["root"], "left_semi").isEmpty() and tree.groupBy("a").count().filter("count > 1").isEmpty():
+            return tree.select(F.col("a").alias("fp"), F.col("b").alias("root")).union(roots.select("root", F.col("root").alias("b")))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -139,6 +139,14 @@ def test_components_of_a_long_chain(spark):
     assert {bytes(r.root) for r in out} == {b"\x00\x00"}
 
 
+def test_components_of_a_chain_with_shuffled_ids(spark):
+    ids = [hashlib.md5(str(i).encode()).digest() for i in range(1000)]
+    edges = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in zip(ids, ids[1:], strict=False)], "a binary, b binary")
+    out = dedup.components(edges, "shuffled").collect()
+    assert sorted(bytes(r.fp) for r in out) == sorted(ids)
+    assert {bytes(r.root) for r in out} == {min(ids)}
+
+
 # --- decontamination -----------------------------------------------------------------------------
 
 
