@@ -13,9 +13,11 @@ Every run sends a Poisson process of arrivals, with its weight as the rate, to
 random registers; a register keeps the run that came first, so that two
 documents agree in a register with probability J.  Arrivals end once none can
 be early enough.  Bands of registers become bucket keys.  A bucket isn't
-expanded into pairs: its members are compared with few representatives, first
-with the one that meets the most texts over all bands, then, where that left
-them apart, with two others, which differ from band to band.
+expanded into pairs: its members are compared with representatives, first with
+the one that meets the most texts over all bands, then, where that left them
+apart, with two others, which differ from band to band.  Where classes still
+meet in a bucket, more representatives follow, until every two of its members
+are in one class or have been compared.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from leafmill.llm.hashing import U, blocks, mix, shingles, word_hashes
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, about 1 in 150,000.
 BANDS, ROWS = 30, 5
+#: Representatives of a bucket in the first exact round (four times as many in each next one), and members that meet them in one task.
+SHARE, MEMBERS_PER_BLOCK = 32, 4096
 
 
 def weighted(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,9 +198,34 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     other = pair("r1").union(pair("r2")).distinct()
     one, two = (found.select(F.col("fp").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
     other = other.join(one, "a", "left").join(two, "b", "left").filter("root_a is null or root_b is null or root_a != root_b").select("a", "b").join(first, ["a", "b"], "left_anti")
-    more = written(verified(written(other, "pairs-1"), texts, words, threshold), "links-1")
+    other = written(other, "pairs-1")
+    more = written(verified(other, texts, words, threshold), "links-1")
     if not more.isEmpty():
         found = components(links.union(more), "class-1")
+    sorted_pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    seen = first.select(*sorted_pair).union(other.select(*sorted_pair))
+    left = met.filter("fp != r0 and fp != r1 and fp != r2").select("fp", "key")
+    k = 1
+    while True:
+        k += 1
+        rooted = left.join(found, "fp", "left").select("fp", "key", F.coalesce("root", "fp").alias("root"))
+        parted = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+        left = written(rooted.join(parted.select("key", "n"), "key"), f"left-{k}")
+        if left.isEmpty():
+            break
+        # small buckets are done in one round; larger ones have some members compared, which may join the classes of others
+        share = F.lit(SHARE * 4.0 ** (k - 2)) / F.col("n")
+        chosen = F.pmod(F.xxhash64("fp", "key", F.lit(k)), F.lit(1 << 30)) < share * (1 << 30)
+        cut = F.ceil(F.col("n") / MEMBERS_PER_BLOCK)
+        heads = left.filter(chosen).select("key", F.col("fp").alias("b"), F.col("root").alias("root_b"), F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("s"))
+        members = left.select("key", F.col("fp").alias("a"), F.col("root").alias("root_a"), F.pmod(F.xxhash64("fp"), cut).alias("s"))
+        new = members.join(heads, ["key", "s"]).filter("root_a != root_b").select(*sorted_pair).distinct().join(seen, ["a", "b"], "left_anti")
+        new = written(new, f"pairs-{k}")
+        more = written(verified(new, texts, words, threshold), f"links-{k}")
+        if not more.isEmpty():
+            found = components(found.select(F.col("fp").alias("a"), F.col("root").alias("b")).union(more), f"class-{k}")
+        seen = seen.union(new)
+        left = left.filter(~chosen).select("fp", "key")
     return ids.select("doc_id", "fp").join(found, "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
 
 

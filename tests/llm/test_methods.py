@@ -132,6 +132,26 @@ def test_no_link_is_lost(spark):
     assert {min(c): sorted(c) for c in want.values()} == {m: sorted(i for i in got if got[i] == m) for m in set(got.values())}
 
 
+def test_links_apart_from_the_representatives_are_found(spark):
+    """One bucket of pairs of near copies that are far from all others, and so from its representatives."""
+    rng = random.Random(11)
+    head = [f"h{i}" for i in range(150)]
+    own = {}
+    for k in range(24):
+        words = head + [f"t{k}x{i}" for i in range(100)]
+        own[2 * k] = " ".join(words)
+        words[rng.randrange(160, 240)] = "changed"
+        own[2 * k + 1] = " ".join(words)
+    sets = [dedup.weighted([t.encode()], 5) for t in own.values()]
+    keys = [dedup.band_keys(dedup.probminhash(d, h, w, 1, 1), 1, 1)[0, 0] for d, h, w in sets]
+    linked = [k for k in range(24) if keys[2 * k] == keys[2 * k + 1] and dedup.similarity(sets[2 * k][1:], sets[2 * k + 1][1:]) >= 0.8]
+    assert max(Counter(keys[2 * k] for k in linked).values()) > 6
+    docs = spark.createDataFrame(list(own.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in dedup.near_duplicates(docs, bands=1, rows=1).collect()}
+    assert [k for k in range(24) if got[2 * k] == got[2 * k + 1]] == linked
+    assert all(got[2 * k] in (2 * k, 2 * k + 1) for k in range(24))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).select(F.unhex(F.lpad(F.hex("id"), 4, "0")).alias("a"), F.unhex(F.lpad(F.hex(F.col("id") + 1), 4, "0")).alias("b"))
     out = dedup.components(edges, "chain").collect()
