@@ -377,6 +377,21 @@ def test_recall_against_brute_force(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_recall_with_a_few_large_norms(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 10
+    got = defaultdict(set)
+    for r in ann.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].add(r.vec_id)
+    assert len(got) == 75 and all(len(s) == 20 for s in got.values())
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    hits = sum(len(got[i] & set(np.argsort(-s[i])[:20].tolist())) for i in got)
+    assert hits / (20 * len(got)) >= 0.9
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------
 
 
