@@ -100,7 +100,8 @@ def calibrated(sample: np.ndarray, asks: np.ndarray, rows: int, norm: float, k:
     """Hash tables whose number of probes reaches ``recall`` for ``asks`` on the sample of a range; None if none does.
 
     Neighbours within a sample are farther than those among all rows, so the
-    sample's recall is the lower one.
+    sample's recall is the lower one.  Fewer hashes are tried where the probes
+    of many aren't enough.
     """
     if len(sample) <= k + 1:
         return None
@@ -110,7 +111,7 @@ def calibrated(sample: np.ndarray, asks: np.ndarray, rows: int, norm: float, k:
     s[(q[:, None, :1] == sample[None, :, :1])[:, :, 0] & (np.abs(s - (q * q).sum(axis=1)[:, None]) <= 1e-12 * (1 + np.abs(s)))] = -np.inf
     true = np.argpartition(-s, k, axis=1)[:, :k]
     most_hashes = max(6, int(np.log2(max(rows, 1) / 1024)) if rows > 1024 else 6)
-    for hashes in [most_hashes]:
+    for hashes in range(most_hashes, 5, -1):
         rng = np.random.default_rng(seed)
         a = rng.standard_normal((tables, hashes, sample.shape[1] + 1))
         h = Hashes(a, rng.random((tables, hashes)), 1.0, norm, 1)

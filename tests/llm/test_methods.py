@@ -392,6 +392,20 @@ def test_recall_with_a_few_large_norms(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_probes_that_miss_the_recall_are_not_taken():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    h = ann.calibrated(x, x[:12], 1 << 23, 1.0, 20, 1, 0.97, 7)
+    if h is not None:
+        own = ann.bucket_ids(np.floor(h.cells(x, False)))[:, 0]
+        s = x[:12] @ x.T
+        s[np.arange(12), np.arange(12)] = -np.inf
+        probes = ann.probe_ids(h.cells(x[:12], True)[:, 0], h.probes)
+        assert np.mean([np.isin(own[np.argsort(-s[i])[:20]], probes[i]).mean() for i in range(12)]) >= 0.97
+    assert ann.calibrated(x, x[:12], 1 << 23, 30.0, 20, 1, 0.97, 7) is None
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------
 
 
