@@ -31,17 +31,25 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 
-@lru_cache(maxsize=2)
-def tokenizer(name: str):
-    """The byte-level vocabulary; gives the ids of the JSON file of the same name (tested), several times as fast."""
+@lru_cache(maxsize=4)
+def tokenizer(name: str, added: bool = False):
+    """The byte-level vocabulary; gives the ids of the JSON file of the same name (tested), several times as fast.
+
+    With ``added``, it knows the added tokens of that file too, if they are allowed in the call.
+    """
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return tiktoken.Encoding(name, pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+    special = {}
+    if added:
+        with open(public_tokenizers.path(name.removesuffix(".tiktoken") + ".json"), encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    return tiktoken.Encoding(name, pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
 def harmonic_cuts(n: int, capacity: int, waste: float) -> list[int]:
@@ -62,12 +70,12 @@ def pieces(docs: DataFrame, capacity: int, waste: float, key: str, text: str, en
     schema = PIECE + (", ids array<int>" if ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(vocabulary).encode_to_numpy
+        encode = tokenizer(vocabulary, added=True).encode_to_numpy
         tail = [harmonic_cuts(n, capacity, waste) for n in range(capacity)]
         for batch in batches:
             keys, found, kept = batch.column(0).to_pylist(), [], []
             for k, s in zip(keys, batch.column(1), strict=True):
-                own = np.append(encode(s.as_py() or "").astype("<u4", copy=False), np.uint32(end_id))
+                own = np.append(encode(s.as_py() or "", allowed_special="all").astype("<u4", copy=False), np.uint32(end_id))
                 at = 0
                 for n in [capacity] * (len(own) // capacity) + tail[len(own) % capacity]:
                     found.append((k, at, n, zlib.crc32(own[at : at + n].tobytes()), len(own), capacity // n))

@@ -46,6 +46,17 @@ def test_tokenizer_gives_the_ids_of_the_json_file(spark, small):
         assert own.encode_to_numpy(x).tolist() == t.encode(x, add_special_tokens=False).ids
 
 
+def test_packing_gives_added_tokens_the_ids_of_the_json_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext|", "  <|endoftext|>  y"]
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in packing.pack(docs, ids=True).collect()}
+    assert got == {i: [*t.encode(x, add_special_tokens=False).ids, 1] for i, x in enumerate(own)}
+
+
 def test_packing_is_an_exact_round_trip(spark):
     docs = load(spark, MEDIUM, "documents")
     rows = packing.pack(docs, ids=True).collect()
