@@ -1,206 +1,260 @@
 """Language-model scoring by a weighted backoff automaton.
 
 Tokens are words (ASCII lower case, split at ASCII white space) and one end
-per text.  The base model is the smoothed unigram distribution
+per text.  Every n-gram of the training texts up to ``order`` words is
+counted; nothing is cut off, so the model grows with the corpus.  Its states
+are the n-grams that were seen as histories.  From the state h an arc reads
+every word w that was seen behind it, with the weight
 
-    p1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
+    p(w | h) = (c(h w) + m p(w | h')) / (c(h) + m),
 
-whose counts cover all training texts.  Longer n-grams of frequent words get
-absolute discounting and interpolation; those above a share of N are kept, so
-their number is bounded whatever the corpus, and the rest of their mass goes
-down the failure arc.  States are n-grams, an arc reads a token and adds its
-log probability, a failure arc drops the oldest word and adds the log backoff
-weight.  One pass over a text carries the state from token to token.
+where h' is h without its oldest word and m the strength of that prior; any
+other word takes the failure arc to h', of weight m / (c(h) + m).  At the
+empty history stand the smoothed unigrams
 
-Counts of frequent words are broadcast (at most ``1 / COMMON`` of them); all
-other tokens meet their counts in a join, so every count is exact.
+    p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
+
+the base model.  The probabilities behind each history add up to one.  A text
+starts in the state of the end token, and no history reaches back across it.
+
+The automaton of a large corpus fits no machine, so its arcs travel to the
+texts: texts are cut into blocks of a fixed size, and each block sends its
+distinct n-grams, as 64-bit hashes, to the buckets of the hash space, where
+their counts meet and are added up.  The counts come back to the block, which
+now holds just the arcs and failure arcs that its own texts can take, and is
+traversed.  A frequent n-gram meets once per block, not once per occurrence.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import load, remainder, written
+from leafmill.llm.hashing import U, blocks, mix, word_hashes
 
-#: Shares of all tokens above which: a word's count is broadcast; a word is a context, also in triples; an n-gram is kept.
-COMMON, CONTEXT, CONTEXT3, KEPT = 2.0**-19, 2.0**-12, 2.0**-10, 2.0**-20
-#: Longest word, in bytes, that is broadcast.
-WORD_BYTES = 64
-DISCOUNT = 0.5
-#: Distinct words, or tokens, that a task gathers before it passes them on.
-_HELD = 1 << 19
-END = ""
+#: Longest n-gram, and the strength of the prior of n-grams of two, three ... words.
+ORDER, PRIOR = 3, (64.0, 8.0)
+#: Tokens of a block; a longer text is cut into pieces that carry their history along.
+BLOCK_TOKENS = 1 << 20
+#: Positions of all blocks for each bucket of counts.
+BUCKET_POSITIONS = 1 << 20
+#: Bytes of words: all but ASCII white space.
+_INSIDE = np.ones(256, bool)
+_INSIDE[[9, 10, 11, 12, 13, 32]] = False
+END = U(0x5851F42D4C957F2D)
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a text, without the end."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _packed(x: np.ndarray) -> bytes:
+    """Integers by planes of bytes, compressed: high planes of small values are all zero."""
+    raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over ``text``; the end of a text is the empty word. Each task adds up its own rows first."""
+def _unpacked(b: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(b, n * 8, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, n).T).view("<u8").ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
 
-        def out() -> pa.RecordBatch:
-            words = pa.array(list(held.keys()), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(held.values()), pa.int64())], ["word", "c"])
+def _sorted_packed(x: np.ndarray) -> bytes:
+    """Ascending integers by their differences."""
+    return _packed(np.diff(x, prepend=U(0)))
 
-        for batch in batches:
-            for s in batch.column(0):
-                held.update(tokens(s.as_py()))
-                held[b""] += 1
-                if len(held) > _HELD:
-                    yield out()
-                    held.clear()
-        yield out()
 
-    return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the tokens of all texts, each with its end; number of tokens of each text)."""
+    h, doc, _, _ = word_hashes(texts, _INSIDE)
+    n = np.bincount(doc, minlength=len(texts))
+    return np.insert(h, np.cumsum(n), END), n + 1
 
 
-def ngram_counts(docs: DataFrame, context: dict[bytes, int], triple: int) -> DataFrame:
-    """(n, key, c): counts of pairs of context words, and of triples of those with ids below ``triple``.
+def grams(h: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length: the hashes of the n-grams that end at each position, and whether there is one.
 
-    A key is its words' ids as digits to the base of the number of contexts.
-    The end of a text is the context before the next text's first word; no
-    triple reaches across it.
+    ``first``: position in its piece of each token.  Hashes have 63 bits.
     """
-    sent, base = docs.sparkSession.sparkContext.broadcast(context), len(context)
+    out, g = [], h
+    for n in range(1, order + 1):
+        if n > 1:
+            g = mix(np.concatenate([np.zeros(1, U), g[:-1]]) * U(0xD1342543DE82EF95) + h)
+        out.append((g >> U(1), first >= n - 1))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = sent.value.get
-        end = get(b"", -1)
-
-        def out(ids: list[int]) -> Iterator[pa.RecordBatch]:
-            x = np.array(ids, np.int64)
-            a, b = x[:-1], x[1:]
-            pairs = (a * base + b)[(a >= 0) & (b >= 0)]
-            a, b, c = x[:-2], x[1:-1], x[2:]
-            rare = lambda y: (y >= 0) & (y < triple)
-            triples = ((a * base + b) * base + c)[rare(a) & rare(b) & rare(c) & (b != end)]
-            for n, keys in ((2, pairs), (3, triples)):
-                keys, c = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n), pa.int32()), pa.array(keys, pa.int64()), pa.array(c, pa.int64())], ["n", "key", "c"])
-
-        ids = [end]
-        for batch in batches:
-            for s in batch.column(0):
-                ids += [get(w, -1) for w in tokens(s.as_py())]
-                ids.append(end)
-                if len(ids) > 4 * _HELD:
-                    yield from out(ids)
-                    ids = [end]
-        yield from out(ids)
 
-    return docs.select("text").mapInArrow(run, "n int, key long, c long").groupBy("n", "key").agg(F.sum("c").alias("c"))
+class _Pieces:
+    """Pieces of texts of one block; each starts with its history, which is read but not scored."""
 
+    def __init__(self):
+        self.hashes: list[np.ndarray] = []
+        self.rows: list[tuple] = []
+        self.size = 0
 
-@dataclass
-class Automaton:
-    """States by number; 0 is the empty history, at which every token is read.
+    def add(self, rid: int, key, learned: bool, history: np.ndarray, own: np.ndarray) -> None:
+        self.hashes += [history, own]
+        self.rows.append((rid, key, learned, len(history), len(own)))
+        self.size += len(own)
 
-    arcs[s]: token id -> (log10 probability, next state); back[s], fail[s]:
-    weight and goal of the failure arc; unigram[w], start[w]: of the common
-    words; begin: the state before a text.
-    """
 
-    ids: dict[bytes, int]
-    unigram: list[float]
-    start: list[int]
-    begin: int = 0
-    arcs: list[dict[int, tuple[float, int]]] = field(default_factory=lambda: [{}])
-    back: list[float] = field(default_factory=lambda: [0.0])
-    fail: list[int] = field(default_factory=lambda: [0])
-
-    def traverse(self, words: list[int]) -> float:
-        """Sum of log10 probabilities; that of a word without an id (-1) is left out where the unigrams give it."""
-        arcs, back, fail, unigram, start = self.arcs, self.back, self.fail, self.unigram, self.start
-        total, s = 0.0, self.begin
-        for w in words:
-            while s:
-                arc = arcs[s].get(w)
-                if arc is not None:
-                    total += arc[0]
-                    s = arc[1]
-                    break
-                total += back[s]
-                s = fail[s]
-            else:
-                if w >= 0:
-                    total += unigram[w]
-                    s = start[w]
-        return total
-
-
-def build(common: list[tuple[str, int]], pairs: dict[tuple[int, int], int], triples: dict[tuple[int, int, int], int], tokens_: int, distinct: int) -> Automaton:
-    """The automaton of the given counts; ``common`` is in order of word ids, contexts first."""
-    z = tokens_ + 0.1 * (distinct + 1)
-    p1 = [(c + 0.1) / z for _, c in common]
-    m = Automaton({w.encode("utf-8", "surrogatepass"): i for i, (w, _) in enumerate(common)}, [log10(p) for p in p1], [0] * len(common))
-
-    def state(rest: float, fail: int) -> int:
-        m.arcs.append({})
-        m.back.append(log10(rest))
-        m.fail.append(fail)
-        return len(m.arcs) - 1
-
-    followers: dict[int, list[tuple[int, int]]] = {}
-    for (u, v), c in sorted(pairs.items()):
-        followers.setdefault(u, []).append((v, c))
-    rest1 = {u: 1 - sum(c - DISCOUNT for _, c in f) / common[u][1] for u, f in followers.items()}
-    for u in followers:
-        m.start[u] = state(max(rest1[u], 1e-12), 0)
-    p2 = {(u, v): (c - DISCOUNT) / common[u][1] + rest1[u] * p1[v] for (u, v), c in pairs.items()}
-    third: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for (u, v, w), c in sorted(triples.items()):
-        if (u, v) in pairs:
-            third.setdefault((u, v), []).append((w, c))
-    deep = {}
-    for (u, v), f in third.items():
-        rest = 1 - sum(c - DISCOUNT for _, c in f) / pairs[u, v]
-        if m.start[v]:
-            deep[u, v] = state(max(rest, 1e-12), m.start[v])
-    for (u, v), p in p2.items():
-        m.arcs[m.start[u]][v] = (log10(p), deep.get((u, v), m.start[v]))
-    for (u, v), s in deep.items():
-        rest = 1 - sum(c - DISCOUNT for _, c in third[u, v]) / pairs[u, v]
-        for w, c in third[u, v]:
-            low = p2.get((v, w), rest1[v] * p1[w])
-            m.arcs[s][w] = (log10((c - DISCOUNT) / pairs[u, v] + rest * low), deep.get((v, w), m.start[w]))
-    m.begin = m.start[m.ids[b""]] if b"" in m.ids else 0
-    return m
-
-
-def train(docs: DataFrame) -> tuple[Automaton, DataFrame, int, int]:
-    """The automaton, all word counts (a written table), the number of tokens and of distinct ones. Reads ``text`` of ``docs``."""
-    counts = written(word_counts(docs), "words")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).collect()[0]
-    # at most 1 / COMMON words of at most WORD_BYTES bytes
-    common = [tuple(r) for r in counts.filter((F.col("c") >= F.lit(COMMON * n)) & (F.octet_length("word") <= WORD_BYTES)).collect()]
-    common.sort(key=lambda r: (-r[1], r[0]))
-    context = {w.encode("utf-8", "surrogatepass"): i for i, (w, c) in enumerate(common) if c >= CONTEXT * n}
-    triple = sum(c >= CONTEXT3 * n for _, c in common)
-    kept: dict[int, dict] = {2: {}, 3: {}}
-    if context:
-        found = written(ngram_counts(docs, context, triple), "ngrams")
-        k = len(context)
-        # at most 1 / KEPT n-grams of each length
-        for r in found.filter(F.col("c") >= F.lit(max(2.0, KEPT * n))).collect():
-            a, b = divmod(r["key"], k)
-            kept[r["n"]][(a, b) if r["n"] == 2 else (*divmod(a, k), b)] = r["c"]
-    return build(common, kept[2], kept[3], n, v), counts, n, v
-
-
-def score(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+BLOCK = "block long, words long, distinct binary, seq binary, rid array<long>, doc_id array<{key}>, learned array<boolean>, lead array<int>, size array<int>, positions long, trained long"
+
+
+def cut(docs: DataFrame, order: int, block_tokens: int) -> DataFrame:
+    """Blocks of texts as words; ``docs``: (doc_id, text, learned).  A block's number is made of its task's."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    key_type = _arrow(docs, "doc_id").field("doc_id").type
+    schema = BLOCK.format(key=kind)
+
+    def record(number: int, p: _Pieces) -> pa.RecordBatch:
+        h = np.concatenate(p.hashes)
+        distinct, seq = np.unique(h, return_inverse=True)
+        rid, keys, learned, lead, size = zip(*p.rows, strict=True)
+        trained = sum(s for s, y in zip(size, learned, strict=True) if y)
+        one = lambda x, t: pa.array([x], t)
+        arrays = [one(number, pa.int64()), one(len(distinct), pa.int64()), one(_sorted_packed(distinct), pa.binary()), one(_packed(seq), pa.binary())]
+        arrays += [one(list(x), pa.list_(t)) for x, t in ((rid, pa.int64()), (keys, key_type), (learned, pa.bool_()), (lead, pa.int32()), (size, pa.int32()))]
+        arrays += [one(len(h), pa.int64()), one(trained, pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in schema.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        rid, held = number, _Pieces()
+        for batch in batches:
+            keys, learned = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for at, texts in blocks(batch.column(1)):
+                h, n = tokens(texts)
+                for i, own in enumerate(np.split(h, np.cumsum(n)[:-1]), at):
+                    history = np.full(1, END)
+                    for start in range(0, len(own), block_tokens):
+                        part = own[start : start + block_tokens]
+                        held.add(rid, keys[i], bool(learned[i]), history, part)
+                        history = np.concatenate([history, part])[-max(order - 1, 1) :]
+                        if held.size >= block_tokens:
+                            yield record(number, held)
+                            number, held = number + 1, _Pieces()
+                    rid += 1
+        if held.rows:
+            yield record(number, held)
+
+    return docs.select("doc_id", "text", "learned").mapInArrow(run, schema)
+
+
+def _arrow(df: DataFrame, column: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(df.select(column).schema)
+
+
+class Block:
+    """A block read back: its words, and the place of each in its piece."""
+
+    def __init__(self, row: dict):
+        words = np.cumsum(_unpacked(row["distinct"], row["words"]), dtype=U)
+        self.h = words[_unpacked(row["seq"], row["positions"]).astype(np.int64)]
+        lead, size = np.array(row["lead"], np.int64), np.array(row["size"], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(lead + size)[:-1]])
+        self.first = np.arange(len(self.h)) - np.repeat(self.start, lead + size)
+        self.own = self.first >= np.repeat(lead, lead + size)
+        self.learns = self.own & np.repeat(np.array(row["learned"], bool), lead + size)
+        self.begin = self.start + lead
+
+
+def sent(made: DataFrame, order: int, buckets: int) -> DataFrame:
+    """(bucket, block, n, size, keys, counts): each block's distinct n-grams with their counts in its training texts."""
+    # equal parts of the 63-bit hash space
+    bounds = np.array([(i << 63) // buckets for i in range(1, buckets)], U)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                b = Block(row)
+                for n, (g, valid) in enumerate(grams(b.h, b.first, order), 1):
+                    # sorted with the training flag as the lowest bit
+                    x = (g[valid] << U(1)) | b.learns[valid]
+                    x.sort()
+                    key = x >> U(1)
+                    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                    if not len(key):
+                        continue
+                    key, c = key[at], np.add.reduceat(x & U(1), at)
+                    edge = np.concatenate([[0], np.searchsorted(key, bounds), [len(key)]])
+                    some = np.flatnonzero(np.diff(edge))
+                    parts = [(k, slice(edge[k], edge[k + 1])) for k in some.tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([(n - 1) * buckets + k for k, _ in parts], pa.int64()),
+                            pa.array([row["block"]] * len(parts), pa.int64()),
+                            pa.array([n] * len(parts), pa.int32()),
+                            pa.array([s.stop - s.start for _, s in parts], pa.int64()),
+                            pa.array([_sorted_packed(key[s]) for _, s in parts], pa.binary()),
+                            pa.array([_packed(c[s]) for _, s in parts], pa.binary()),
+                        ],
+                        ["bucket", "block", "n", "size", "keys", "counts"],
+                    )
+
+    columns = ("block", "words", "distinct", "seq", "learned", "lead", "size", "positions")
+    return made.select(*columns).mapInArrow(run, "bucket long, block long, n int, size long, keys binary, counts binary")
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """One bucket: the counts of all blocks added up, for each block in the order of its keys; and how many keys have any."""
+    size = table["size"].to_pylist()
+    key = np.concatenate([np.cumsum(_unpacked(x.as_py(), n), dtype=U) for x, n in zip(table["keys"], size, strict=True)])
+    c = np.concatenate([_unpacked(x.as_py(), n) for x, n in zip(table["counts"], size, strict=True)])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    total = np.add.reduceat(c[order], at)
+    c[order] = np.repeat(total, np.diff(np.concatenate([at, [len(key)]])))
+    parts = np.split(c, np.cumsum(size)[:-1])
+    n, bucket = table["n"][0].as_py(), table["bucket"][0].as_py()
+    return pa.table(
+        {
+            "block": pa.array([*table["block"].to_pylist(), -1], pa.int64()),
+            "n": pa.array([n] * (len(size) + 1), pa.int32()),
+            "bucket": pa.array([bucket] * (len(size) + 1), pa.int64()),
+            "size": pa.array([*size, int(np.count_nonzero(total))], pa.int64()),
+            "counts": pa.array([*map(_packed, parts), None], pa.binary()),
+        }
+    )
+
+
+COUNTS = "block long, n int, bucket long, size long, counts binary"
+
+
+def traverse(b: Block, counts: list[np.ndarray], total: int, distinct: int, prior: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probabilities of every position: (of the base model, of the automaton).
+
+    ``counts``: for each length, the count of the n-gram that ends at each
+    position.  The state carried to a position is the longest history with a
+    count, which the counts at the position before it tell; from it the arc
+    is taken if the n-gram has a count, else the failure arc, until one reads
+    the word.
+    """
+    p = (counts[0] + 0.1) / (total + 0.1 * (distinct + 1))
+    base, arc, back = np.log10(p), [np.log10(p)], [np.zeros(len(p))]
+    for n in range(1, len(counts)):
+        history = np.concatenate([[0], counts[n - 1][:-1]]) * (b.first >= n)
+        m = prior[n - 1]
+        # where nothing was seen behind the history the failure arc costs nothing
+        back.append(np.log10(m / (history + m)))
+        p = (counts[n] + m * p) / (history + m)
+        arc.append(np.log10(p))
+    score, reading = np.zeros(len(p)), np.ones(len(p), bool)
+    for n in range(len(counts) - 1, -1, -1):
+        taken = reading & ((counts[n] > 0) if n else True)
+        score += np.where(taken, arc[n], 0.0)
+        reading = reading & ~taken
+        score += np.where(reading, back[n], 0.0)
+    return base, score
+
+
+def score(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text", order: int = ORDER, prior: tuple[float, ...] = PRIOR, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Score every whole text by a model of those rows for which ``learns`` holds.
 
     Returns (key, learned, n_tokens, n_known, train_tokens, base_score,
@@ -209,41 +263,61 @@ def score(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "tex
     token has probability one (the smoothed mass of the unknown); an empty
     table gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), learns.alias("learned"))
-    model, counts, n, v = train(rows.filter("learned"))
-    z = n + 0.1 * (v + 1)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        get, unigram, end = m.ids.get, np.array([*m.unigram, 0.0]), m.ids.get(b"", -1)
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for s in batch.column(1):
-                words = tokens(s.as_py())
-                ids = [get(w, -1) for w in words]
-                ids.append(end)
-                tail = [w for w, i in zip(words, ids, strict=False) if i < 0]
-                if end < 0:
-                    tail.append(b"")
-                base = float(unigram[ids].sum())
-                for c, x in zip(out, (len(ids), len(ids) - len(tail), base, m.traverse(ids), tail), strict=True):
-                    c.append(x)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            arrays = [pa.array(c, t) for c, t in zip(out, kinds, strict=False)]
-            lens = np.cumsum([0, *map(len, out[4])]).astype("i4")
-            flat = pa.array([w for ws in out[4] for w in ws], pa.binary()).cast(pa.string())
-            arrays.append(pa.ListArray.from_arrays(pa.array(lens), flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *arrays], ["doc_id", "learned", "n_tokens", "n_common", "base", "deep", "tail"])
-
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.coalesce(learns, F.lit(False)).alias("learned"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"doc_id {kind}, learned boolean, n_tokens long, n_common long, base double, deep double, tail array<string>")
-    made = written(made.withColumn("rid", F.monotonically_increasing_id()), "scores")
-    rest = made.select("rid", F.explode("tail").alias("word")).join(counts, "word", "left")
-    rest = rest.groupBy("rid").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.1) / z)).alias("rest"), F.count("c").alias("n_rest"))
-    out = made.drop("tail").join(rest, "rid", "left")
-    more = F.coalesce("rest", F.lit(0.0))
-    return out.select("doc_id", "learned", "n_tokens", (F.col("n_common") + F.coalesce("n_rest", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("deep") + more).alias("score"))
+    made = written(cut(rows, order, block_tokens), "blocks")
+    facts = made.agg(F.coalesce(F.sum("positions"), F.lit(0)).alias("positions"), F.coalesce(F.sum("trained"), F.lit(0)).alias("trained")).collect()[0]
+    total, buckets = facts["trained"], max(1, -(-facts["positions"] // BUCKET_POSITIONS))
+    counts = written(sent(made, order, buckets).groupBy("bucket").applyInArrow(_added, COUNTS), "counts")
+    distinct = counts.filter("block = -1 and n = 1").agg(F.coalesce(F.sum("size"), F.lit(0))).collect()[0][0]
+    facts_of = [x.split()[0] for x in BLOCK.split(", ")]
+    outputs = f"rid long, doc_id {kind}, learned boolean, n_tokens long, n_known long, base double, score double"
+    key_type = _arrow(rows, "doc_id").field("doc_id").type
+
+    def run(table: pa.Table) -> pa.Table:
+        """One block: its own row, which has no n, and the counts of its n-grams."""
+        alone = pa.compute.is_null(table["n"])
+        row = table.select(facts_of).filter(alone).to_pylist()[0]
+        parts = table.select(["n", "bucket", "keys", "counts"]).filter(pa.compute.invert(alone)).sort_by([("n", "ascending"), ("bucket", "ascending")]).to_pylist()
+        b = Block(row)
+        found = []
+        for n, (g, valid) in enumerate(grams(b.h, b.first, order), 1):
+            c = np.zeros(len(g), np.int64)
+            own = [_unpacked(x["counts"], x["keys"]) for x in parts if x["n"] == n]
+            if own:
+                # the counts stand in the order of the distinct hashes
+                x = g[valid]
+                by = np.argsort(x)
+                x = x[by]
+                place = np.zeros(len(x), np.int64)
+                place[by] = np.cumsum(np.concatenate([[False], x[1:] != x[:-1]]))
+                c[valid] = np.concatenate(own).astype(np.int64)[place]
+            found.append(c)
+        base, deep = traverse(b, found, total, distinct, prior)
+        # a piece ends where the next one starts; its history is no part of its sums
+        edges = np.stack([b.begin, np.append(b.start[1:], len(b.h))], axis=1).ravel()
+        add = lambda x: np.add.reduceat(np.append(x, x[:1] * 0), edges)[::2]
+        return pa.table(
+            {
+                "rid": pa.array(row["rid"], pa.int64()),
+                "doc_id": pa.array(row["doc_id"], key_type),
+                "learned": pa.array(row["learned"], pa.bool_()),
+                "n_tokens": pa.array(row["size"], pa.int64()),
+                "n_known": pa.array(add((found[0] > 0).astype(np.int64)), pa.int64()),
+                "base": pa.array(add(base), pa.float64()),
+                "score": pa.array(add(deep), pa.float64()),
+            }
+        )
+
+    null = lambda name, of: F.lit(None).cast(of.schema[name].dataType).alias(name)
+    answers = counts.filter("block >= 0").select("block", "n", "bucket", F.col("size").alias("keys"), "counts")
+    left = made.select(*facts_of, *[null(c, answers) for c in ("n", "bucket", "keys", "counts")])
+    right = answers.select("block", *[null(c, made) for c in facts_of[1:]], "n", "bucket", "keys", "counts")
+
+    out = left.unionByName(right).groupBy("block").applyInArrow(run, outputs)
+    # a long text is in several pieces
+    out = out.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("learned").alias("learned"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    return out.select(F.col("doc_id").alias(key), "learned", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

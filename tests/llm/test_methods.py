@@ -327,38 +327,99 @@ def test_toxicity_on_the_held_out_fold(spark):
     assert hit / out.predicted.sum() > 0.85
 
 
-def test_base_scores_by_definition(spark):
-    cut = lambda t: ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", t)] + [""]
-    own = {i: cut(t) for i, t in texts(spark).items()}
+def cut_words(t):
+    return ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", t)] + [""]
+
+
+def backoff(own, held, order, prior):
+    """(base score, score) of each list of tokens by a dictionary automaton, walked from left to right."""
+    c = [Counter() for _ in range(order)]
+    for i, ws in own.items():
+        s = ["", *ws]
+        for j in range(1, len(s)):
+            for n in range(min(order, j + 1)):
+                c[n][tuple(s[j - n : j + 1])] += not held[i]
+    c = [+x for x in c]
+    total, distinct = sum(c[0].values()), len(c[0])
+    behind = [Counter() for _ in range(order)]
+    for n in range(1, order):
+        for k, x in c[n].items():
+            behind[n][k[:-1]] += x
+    uni = lambda w: (c[0][(w,)] + 0.1) / (total + 0.1 * (distinct + 1))
+
+    def arc(h, w):
+        return (c[len(h)][(*h, w)] + prior[len(h) - 1] * arc(h[1:], w)) / (behind[len(h)][h] + prior[len(h) - 1]) if h else uni(w)
+
+    out = {}
+    for i, ws in own.items():
+        state, score = ("",) if order > 1 and behind[1][("",)] else (), 0.0
+        for w in ws:
+            while state and not c[len(state)][(*state, w)]:
+                score += log10(prior[len(state) - 1] / (behind[len(state)][state] + prior[len(state) - 1]))
+                state = state[1:]
+            score += log10(arc(state, w))
+            state = (*state, w)[-(order - 1) :] if order > 1 else ()
+            while state and not behind[len(state)][state]:
+                state = state[1:]
+        out[i] = sum(log10(uni(w)) for w in ws), score
+    return out
+
+
+@pytest.mark.parametrize(("order", "block"), [(3, lm.BLOCK_TOKENS), (3, 50), (2, 700), (1, 300)])
+def test_scores_are_those_of_the_automaton(spark, monkeypatch, order, block):
+    """Also with many blocks and buckets, and with texts in several pieces."""
+    monkeypatch.setattr(lm, "BUCKET_POSITIONS", 30_000)
+    own = {i: cut_words(t) for i, t in texts(spark).items()}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in own}
+    want = backoff(own, held, order, lm.PRIOR)
+    docs = load(spark, MEDIUM, "documents")
+    rows = lm.score(docs.repartition(3), F.crc32(F.col("doc_id").cast("string")) % 10 != 0, order=order, block_tokens=block).collect()
+    assert len(rows) == len(own)
+    for r in rows:
+        assert (r.base_score, r.score) == pytest.approx(want[r.doc_id], rel=1e-9)
+
+
+def test_base_facts_by_definition(spark):
+    own = {i: cut_words(t) for i, t in texts(spark).items()}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in own}
     c = Counter(w for i, ws in own.items() if not held[i] for w in ws)
-    n, v = sum(c.values()), len(c)
     rows = lm.op8_backoff_lm(spark, MEDIUM).collect()
     for r in rows:
         ws = own[r.doc_id]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(ws), sum(c[w] > 0 for w in ws), n)
-        assert r.base_score == pytest.approx(sum(log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), rel=1e-12)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(ws), sum(c[w] > 0 for w in ws), sum(c.values()))
     assert sum(r.score - r.base_score for r in rows if r.held_out) > 0
 
 
-def test_automaton_is_a_distribution():
-    rng = random.Random(2)
-    stream = [rng.choice("aabbbc") for _ in range(400)]
-    c = Counter([*stream, *[""] * 10])
-    common = sorted(c.items(), key=lambda r: (-r[1], r[0]))
-    ids = {w: i for i, (w, _) in enumerate(common)}
-    x = [ids[w] for w in stream]
-    pairs = {k: n for k, n in Counter(zip(x, x[1:], strict=False)).items() if n > 1}
-    triples = {k: n for k, n in Counter(zip(x, x[1:], x[2:], strict=False)).items() if n > 1}
-    m = lm.build(common, pairs, triples, sum(c.values()), len(c))
-    unknown = log10(0.1 / (sum(c.values()) + 0.1 * (len(c) + 1)))
-    for s in range(len(m.arcs)):
-        m.begin = s
-        # a word without an id adds what the failure arcs cost; its own probability comes from the unigrams
-        total = sum(10 ** m.traverse([w]) for w in range(len(common))) + 10 ** (m.traverse([-1]) + unknown)
+def test_probabilities_behind_a_history_add_up_to_one():
+    """Of all words, and one that was never seen, at every position of a text."""
+    rng = np.random.default_rng(2)
+    h = hashing.mix(rng.integers(1, 5, 400).astype(np.uint64))
+    pair, triple = Counter(zip(h[:-1].tolist(), h[1:].tolist())), Counter(zip(h[:-2].tolist(), h[1:-1].tolist(), h[2:].tolist()))
+    single = Counter(h.tolist())
+    for u, v in {*pair, (7, int(h[0])), (7, 8)}:
+        total = 0.0
+        for w in [*single, 9]:
+            words = np.array([u, v, w], np.uint64)
+            b = type("B", (), {"first": np.arange(3), "h": words})
+            n1 = [single[x] for x in (u, v, w)]
+            n2 = [0, pair[u, v], pair[v, w]]
+            n3 = [0, 0, triple[u, v, w]]
+            # as counts of histories stand for what follows them, the last word of the text has to count once less
+            n1[1] = sum(pair[v, x] for x in single)
+            n2[1] = sum(triple[u, v, x] for x in single)
+            _, score = lm.traverse(b, [np.array(x, np.int64) for x in (n1, n2, n3)], len(h), len(single), lm.PRIOR)
+            total += 10 ** score[2]
         assert total == pytest.approx(1, abs=1e-9)
 
 
+def test_words_in_several_slices_have_one_hash(monkeypatch):
+    texts_ = [b"Ab cde f", b"", b"\xc3\xa9 " + b"x" * 300 + b" y", b" - "]
+    want = hashing.word_hashes(texts_)
+    for size in (1, 2, 7, 64):
+        monkeypatch.setattr(hashing, "SLICE", size)
+        assert all((a == b).all() for a, b in zip(hashing.word_hashes(texts_), want, strict=True))
+
+
 # --- nearest neighbours -----------------------------------------------------------------------------------------
 
 
