@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +27,54 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Paths of the tables that a query under ``finished`` has written so far.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a table in the shared folder and read it back.
 
-    The table outlives lost executors.  It stays until the folder is emptied
-    (see ``purge``), since the frames that read it are lazy.
+    The table outlives lost executors.  It stays until the query that is run
+    under ``finished`` ends, else until the folder is emptied (see ``purge``),
+    since the frames that read it are lazy.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if (held := _scratch.get()) is not None:
+        held.append(path)
+    # nothing reads the shuffle files of this query again: they go as soon as the table is there
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of a few numbers or one fingerprint that may be broadcast: some tens of MB.
+def finished(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The frame that ``make`` returns, written; the tables written on the way to it are deleted."""
+    held: list[str] = []
+    token = _scratch.set(held)
+    try:
+        try:
+            out = make()
+        finally:
+            _scratch.reset(token)
+        return written(out, name)
+    finally:
+        spark = SparkSession.getActiveSession()
+        for path in held:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, place: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of one fingerprint and a key that may be broadcast: some tens of MB.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -46,11 +83,26 @@ def checked(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+#: A key counts as hot with more than this share of all rows, and more rows than that.
+HOT_SHARE, HOT_ROWS = 1 / 1000, 10_000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined with a written ``table`` of one row for each key, whose ``count`` is that of the key's rows.
+
+    The few rows of hot keys (fewer than 1 / HOT_SHARE) are broadcast, so that
+    no hot key's rows are shuffled; all others meet in a shuffle.
+    """
+    total = table.agg(F.coalesce(F.sum(count), F.lit(0))).collect()[0][0]
+    least = max(HOT_ROWS, int(total * HOT_SHARE))
+    hot = table.filter(F.col(count) > least)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.filter(F.col(count) <= least), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def purge(spark: SparkSession) -> None:
     """Delete every table ``written`` has made in this application."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}")
 
 
 def remainder(key: Column | str, mod: int) -> Column:

@@ -16,8 +16,10 @@ be early enough.  Bands of registers become bucket keys.  A bucket isn't
 expanded into pairs: its members are compared with representatives, first with
 the one that meets the most texts over all bands, then, where that left them
 apart, with two others, which differ from band to band.  Where classes still
-meet in a bucket, more representatives follow, until every two of its members
-are in one class or have been compared.
+meet in a bucket, its members get long sketches of one bit for each of many
+more registers.  Every two members of different classes are held against each
+other by these bits, in blocks inside of tasks, and only pairs whose estimate
+isn't far below the threshold become rows and are verified.
 """
 
 from __future__ import annotations
@@ -29,14 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import checked, load, written
+from leafmill.llm.common import checked, finished, join_counted, load, written
 from leafmill.llm.hashing import U, blocks, mix, shingles, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** ROWS) ** BANDS, about 1 in 150,000.
 BANDS, ROWS = 30, 5
-#: Representatives of a bucket in the first exact round (four times as many in each next one), and members that meet them in one task.
-SHARE, MEMBERS_PER_BLOCK = 32, 4096
+#: Bits of a long sketch. The estimate of a pair at the threshold 0.8 strays by 0.0133; it has to be DEVIATIONS as much too low to be passed over, as in 1 of 3 million cases.
+BITS, DEVIATIONS = 2048, 5.0
+#: Members of a bucket that meet in one task (twice as many where two blocks meet).
+MEMBERS_PER_BLOCK = 4096
+#: Texts that one task gives long sketches.
+TEXTS_PER_TASK = 500
 
 
 def weighted(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,6 +66,8 @@ def probminhash(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, docs: int, m
     d, e, w = doc, h, weight
     while len(live):
         step += 1
+        # with many registers the latest one is looked up now and then
+        look = step % max(1, step // 8) == 0
         z = mix(e + U(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         x = x - np.log(((mix(z) >> U(11)).astype(np.float64) + 0.5) * 2.0**-53) / w
         slot = d * m + ((z >> U(32)) * U(m) >> U(32)).astype(np.int64)
@@ -68,9 +76,10 @@ def probminhash(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, docs: int, m
         np.minimum.at(best, at, x[early])
         won = best[at] == x[early]
         who[at[won]] = e[early][won]
-        last = best.reshape(docs, m).max(axis=1)
-        go = x < last[d]
-        live, x, d, e, w = live[go], x[go], d[go], e[go], w[go]
+        if look:
+            last = best.reshape(docs, m).max(axis=1)
+            go = x < last[d]
+            live, x, d, e, w = live[go], x[go], d[go], e[go], w[go]
     return who.reshape(docs, m)
 
 
@@ -121,6 +130,69 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "fp binary, bands array<long>")
 
 
+def long_sketches(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """(fp, sketch) for each row of ``docs`` (fp, text): one bit of the winner of each of ``bits`` registers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for _, texts in blocks(batch.column(1), 1 << 17):
+                for at in range(0, len(texts), 64):
+                    part = texts[at : at + 64]
+                    doc, h, w = weighted(part, words)
+                    won = mix(probminhash(doc, h, w, len(part), bits)) & U(1)
+                    out += [x.tobytes() for x in np.packbits(won.astype(np.uint8), axis=1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["fp", "sketch"])
+
+    return docs.mapInArrow(run, "fp binary, sketch binary")
+
+
+def least_agreement(threshold: float, bits: int, deviations: float) -> int:
+    """Bits in which two long sketches have to agree: half of the registers that differ agree by chance."""
+    p = (1 + threshold) / 2
+    return int(bits * p - deviations * np.sqrt(bits * p * (1 - p)))
+
+
+def close_pairs(members: DataFrame, threshold: float, bits: int) -> DataFrame:
+    """Pairs (a < b) of members of one bucket, of different classes, whose long sketches agree enough.
+
+    ``members``: (key, n, fp, root, sketch, bands), n being the bucket's size.
+    Every two blocks of a bucket meet in a task of their own.  A pair that
+    shares several buckets is given by that of the first band.
+    """
+    most = bits - least_agreement(threshold, bits, DEVIATIONS)
+    cut = F.ceil(F.col("n") / MEMBERS_PER_BLOCK)
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("fp"), cut)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
+    dealt = dealt.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "fp", "root", "sketch", "bands")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, i, j = (k.as_py() for k in key)
+        fps, names = table["fp"].to_pylist(), {}
+        root = np.array([names.setdefault(r, len(names)) for r in table["root"].to_pylist()])
+        words = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(fps), -1)
+        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(fps), -1)
+        part = np.array(table["part"].to_pylist())
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        step, found = max(1, (1 << 16) // max(1, len(right))), []
+        for at in range(0, len(left), step):
+            own = left[at : at + step]
+            differ = np.zeros((len(own), len(right)), np.int32)
+            for k in range(words.shape[1]):
+                differ += np.bitwise_count(words[own, k][:, None] ^ words[right, k][None, :])
+            near = (differ <= most) & (root[own][:, None] != root[right][None, :])
+            if i == j:
+                near &= own[:, None] < right[None, :]
+            a, b = np.nonzero(near)
+            a, b = own[a], right[b]
+            # the first band that both share is this bucket's
+            shared = bands[a] == bands[b]
+            here = bands[a, shared.argmax(axis=1)] == bucket if len(a) else np.zeros(0, bool)
+            found += [(min(fps[p], fps[q]), max(fps[p], fps[q])) for p, q in zip(a[here].tolist(), b[here].tolist(), strict=True)]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a binary, b binary")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose similarity is at least ``threshold``. ``texts``: (fp, text), one row each."""
 
@@ -204,36 +276,26 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
         found = components(links.union(more), "class-1")
     sorted_pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     seen = first.select(*sorted_pair).union(other.select(*sorted_pair))
-    left = met.filter("fp != r0 and fp != r1 and fp != r2").select("fp", "key")
-    k = 1
-    while True:
-        k += 1
-        rooted = left.join(found, "fp", "left").select("fp", "key", F.coalesce("root", "fp").alias("root"))
-        parted = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-        left = written(rooted.join(parted.select("key", "n"), "key"), f"left-{k}")
-        if left.isEmpty():
-            break
-        # small buckets are done in one round; larger ones have some members compared, which may join the classes of others
-        share = F.lit(SHARE * 4.0 ** (k - 2)) / F.col("n")
-        chosen = F.pmod(F.xxhash64("fp", "key", F.lit(k)), F.lit(1 << 30)) < share * (1 << 30)
-        cut = F.ceil(F.col("n") / MEMBERS_PER_BLOCK)
-        heads = left.filter(chosen).select("key", F.col("fp").alias("b"), F.col("root").alias("root_b"), F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("s"))
-        members = left.select("key", F.col("fp").alias("a"), F.col("root").alias("root_a"), F.pmod(F.xxhash64("fp"), cut).alias("s"))
-        new = members.join(heads, ["key", "s"]).filter("root_a != root_b").select(*sorted_pair).distinct().join(seen, ["a", "b"], "left_anti")
-        new = written(new, f"pairs-{k}")
-        more = written(verified(new, texts, words, threshold), f"links-{k}")
-        if not more.isEmpty():
-            found = components(found.select(F.col("fp").alias("a"), F.col("root").alias("b")).union(more), f"class-{k}")
-        seen = seen.union(new)
-        left = left.filter(~chosen).select("fp", "key")
+    # where classes still meet, all that is left is told by long sketches
+    rooted = met.select("fp", "key").join(found, "fp", "left").select("fp", "key", F.coalesce("root", "fp").alias("root"))
+    parted = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+    left = written(rooted.join(parted.select("key", "n"), "key"), "left")
+    apart = written(left.select("fp").distinct(), "apart")
+    # long sketches take much time for few bytes: the rows are dealt out by their number
+    doubtful = texts.join(apart, "fp", "left_semi").select("fp", "text").repartition(max(1, -(-apart.count() // TEXTS_PER_TASK)))
+    sketched = written(long_sketches(doubtful, words, BITS).join(nodes, "fp"), "long")
+    new = written(close_pairs(left.join(sketched, "fp"), threshold, BITS).join(seen, ["a", "b"], "left_anti"), "pairs-2")
+    more = written(verified(new, texts, words, threshold), "links-2")
+    if not more.isEmpty():
+        found = components(found.select(F.col("fp").alias("a"), F.col("root").alias("b")).union(more), "class-2")
     return ids.select("doc_id", "fp").join(found, "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(key, class_id, n_docs) per row: the smallest key and the number of rows of its class (null if it has no key)."""
     rows = written(classes(docs, key, text, **options), "classes")
-    named = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs"))
-    return rows.join(named, "root").select(F.col("doc_id").alias(key), "class_id", "n_docs")
+    named = written(rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs")), "named")
+    return join_counted(rows, named, "root", "n_docs").select(F.col("doc_id").alias(key), "class_id", "n_docs")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -248,8 +310,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **opt
     data = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     fp = F.unhex(F.md5(F.coalesce(F.col(names[text]), F.lit(""))))
     # classes of one row need no join by text: their keys tell them, if keys are unique
-    many = written(kept.filter("n > 1").select("root", "k"), "kept")
-    gone = rows.join(many, "root").filter(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("fp") == F.col("k.fp")))).select("doc_id", "fp").distinct()
+    many = written(kept.filter("n > 1"), "kept")
+    gone = join_counted(rows, many, "root", "n").filter(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("fp") == F.col("k.fp")))).select("doc_id", "fp").distinct()
     left = data.withColumn("_fp", fp).join(checked(written(gone, "gone")).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_gone")), F.col(names[key]).eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_gone")), "left_anti")
     again = rows.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_gone"))
     if not again.isEmpty():
@@ -264,4 +326,4 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **opt
 
 def op3_probminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
-    return near_duplicates(load(spark, sf_dir, "documents"))
+    return finished(lambda: near_duplicates(load(spark, sf_dir, "documents")), "near-duplicates")
