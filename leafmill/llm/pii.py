@@ -5,10 +5,12 @@ candidates come from stricter or looser forms (digits next to other digits,
 national phone numbers, written-out addresses).  Labelers - the form's own
 check, gazetteers, words nearby, the characters around - vote for, against or
 abstain on every span.  Expectation-maximisation over the counts of vote
-patterns estimates how reliable each labeler is per kind; a logistic
-classifier over the votes and the span's shape is trained on the resulting
-probabilities and decides on the further candidates.  Only counts of patterns,
-whose number is fixed, reach the driver.
+patterns estimates how reliable each labeler is per kind, with no more given
+than a weak prior and that none is worse than chance.  A logistic classifier
+is trained on the resulting probabilities and decides on the further
+candidates; besides the votes it sees what no labeler looks at: the span's
+length, how its digits are parted, and what kind of character comes before.
+Only counts of patterns, whose number is fixed, reach the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import load, written
+from leafmill.llm.common import finished, load, written
+from leafmill.llm.spans import between, chunks, last_before, let, overlaps
 from leafmill.llm.spans import found as _found
 
 KINDS = ("email", "ip", "card", "phone")
@@ -33,6 +36,7 @@ BASE = {
 }
 #: Forms of further candidates.
 MORE = {
+    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\x20?\[\.\]\x20?[0-9]{1,3}){3}(?![0-9])|(?i)(?<![0-9a-f:])(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}(?![0-9a-f:])",
     "email": r"(?i)[a-z0-9][a-z0-9._%+-]{0,63}\x20?[\[(]\x20?at\x20?[\])]\x20?[a-z0-9-]{1,63}\x20?(?:[\[(]\x20?dot\x20?[\])]|\.)\x20?[a-z]{2,24}",
     "card": r"(?<![0-9])(?:(?:[0-9]{4}[\x20-]){3}[0-9]{4}|[0-9]{13,19})(?![0-9])",
     "phone": r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![0-9])|(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
@@ -54,8 +58,10 @@ CUES = {
 }
 AGAINST = r"(?i)\b(?:version|v|release|isbn|order|invoice|serial|section|figure|no)\W*$"
 LABELERS = ("check", "gazetteer", "context", "edges")
-#: First guess, least and largest reliability of each labeler; a failed checksum outweighs any two of the others.
-TRUST = ((0.98, 0.95, 0.995), (0.7, 0.55, 0.8), (0.7, 0.55, 0.9), (0.7, 0.55, 0.8))
+#: First guess of each labeler's reliability, which counts as so many votes, and the bounds of any: not below chance, never certain.
+TRUST, PRIOR_VOTES, LEAST, MOST = (0.95, 0.7, 0.7, 0.7), 20, 0.5, 0.995
+#: What of a span, besides votes, the classifier sees; at most 4 x 2 x 3 ** 4 x 13 x 5 x 5 patterns in all.
+SHAPE = ("size", "form", "lead")
 
 
 def digits(m: Column) -> Column:
@@ -100,56 +106,62 @@ def _votes(kind: str, base: bool, r: Column) -> dict[str, Column]:
     }
 
 
-def _shape(r: Column) -> Column:
-    """Span length in steps of four characters, up to 12 steps."""
-    return F.least(F.floor((r["end"] - r["start"]) / 4), F.lit(12)).cast("int")
+def _shape(r: Column) -> dict[str, Column]:
+    """Length in steps of four characters, up to 12 steps; what parts the digits; the class of the character before."""
+    m, c = r["m"], F.right(r["before"], F.lit(1))
+    marks = F.array_distinct(F.regexp_extract_all(m, F.lit(r"[\x20.()-]"), F.lit(0)))
+    form = F.when(F.size(marks) > 1, 4).otherwise(F.coalesce(F.nullif(F.array_position(F.array(F.lit(" "), F.lit("-"), F.lit(".")), F.get(marks, F.lit(0))), F.lit(0)), F.when(F.size(marks) == 1, 4).otherwise(0)))
+    lead = F.when(c == "", 0).when(c.rlike(r"\s"), 1).when(c.rlike(r"\p{L}"), 2).when(c.rlike("[0-9]"), 3).otherwise(4)
+    return {"size": F.least(F.floor((r["end"] - r["start"]) / 4), F.lit(12)).cast("int"), "form": form.cast("int"), "lead": lead}
 
 
 def candidates(text: Column) -> Column:
     """All spans of a text: array of (kind, start, end, base, votes, shape)."""
     number = text.rlike("[0-9]")
     asked = {"email": text.contains("@"), "ip": number & text.contains("."), "card": number, "phone": number & text.contains("+")}
-    more = {"email": text.rlike(r"(?i)[\[(]\x20?at\x20?[\])]"), "card": number, "phone": number}
-    none = F.array().cast("array<struct<kind:int,start:int,end:int,base:boolean,check:int,gazetteer:int,context:int,edges:int,shape:int>>")
+    more = {"email": text.rlike(r"(?i)[\[(]\x20?at\x20?[\])]"), "ip": number & (text.contains("[.]") | text.rlike("(?i)[0-9a-f]:[0-9a-f]{1,4}:")), "card": number, "phone": number}
+    none = F.array().cast("array<struct<" + ",".join(["kind:int", "start:int", "end:int", "base:boolean", *(f"{x}:int" for x in (*LABELERS, *SHAPE))]) + ">>")
 
     def spans(kind: str, base: bool, guard: Column, pattern: str) -> Column:
         found = _found(text, pattern)
         if base:
             found = F.filter(found, lambda r: passes(kind, r["m"]))
-        row = lambda r: F.struct(F.lit(KINDS.index(kind)).alias("kind"), r["start"].alias("start"), r["end"].alias("end"), F.lit(base).alias("base"), *[v.alias(n) for n, v in _votes(kind, base, r).items()], _shape(r).alias("shape"))
+        row = lambda r: F.struct(F.lit(KINDS.index(kind)).alias("kind"), r["start"].alias("start"), r["end"].alias("end"), F.lit(base).alias("base"), *[v.alias(n) for n, v in {**_votes(kind, base, r), **_shape(r)}.items()])
         return F.coalesce(F.when(guard, F.transform(found, row)), none)
 
-    return F.concat(*[spans(k, True, asked[k], BASE[k]) for k in KINDS]), F.concat(*[spans(k, False, more[k], MORE[k]) for k in MORE])
+    return F.concat(*[spans(k, True, asked[k], BASE[k]) for k in KINDS]), F.concat(*[spans(k, False, more[k], MORE[k]) for k in KINDS])
 
 
-def reliabilities(counts: dict[tuple, float], rounds: int = 50) -> tuple[dict, dict]:
+def reliabilities(counts: dict[tuple, float], rounds: int = 100) -> tuple[dict, dict]:
     """EM over vote patterns: (posterior of each pattern, (kind, labeler) -> share of right votes).
 
     ``counts``: (kind, base, votes, shape) -> spans.  Spans of a kind are true
     with an unknown share; a labeler that votes is right with its own
-    probability, within the bounds of TRUST, which fix what true means.
+    probability.  The first guesses count as a few votes, so that spans decide.
     """
-    right = {(k, i): TRUST[i][0] for k in range(len(KINDS)) for i in range(len(LABELERS))}
+    right = {(k, i): TRUST[i] for k in range(len(KINDS)) for i in range(len(LABELERS))}
     prior = {k: 0.7 for k in range(len(KINDS))}
+    votes: dict[tuple, float] = {}
+    for (k, _, v, _), c in counts.items():
+        votes[k, v] = votes.get((k, v), 0.0) + c
     post: dict[tuple, float] = {}
     for _ in range(rounds):
-        for p in counts:
-            k, _, votes, _ = p
-            s = log(prior[k] / (1 - prior[k])) + sum(v * log(right[k, i] / (1 - right[k, i])) for i, v in enumerate(votes))
-            post[p] = 1 / (1 + exp(-max(-30.0, min(30.0, s))))
+        for k, v in votes:
+            s = log(prior[k] / (1 - prior[k])) + sum(x * log(right[k, i] / (1 - right[k, i])) for i, x in enumerate(v))
+            post[k, v] = 1 / (1 + exp(-max(-30.0, min(30.0, s))))
         for k in prior:
-            own = [(p, c) for p, c in counts.items() if p[0] == k]
-            prior[k] = min(0.99, max(0.01, (sum(c * post[p] for p, c in own) + 1) / (sum(c for _, c in own) + 2)))
+            own = [(v, c, post[k, v]) for (kind, v), c in votes.items() if kind == k]
+            prior[k] = min(0.99, max(0.01, (sum(c * p for _, c, p in own) + 1) / (sum(c for _, c, _ in own) + 2)))
             for i in range(len(LABELERS)):
-                good = sum(c * (post[p] if p[2][i] > 0 else 1 - post[p]) for p, c in own if p[2][i])
-                all_ = sum(c for p, c in own if p[2][i])
-                right[k, i] = min(TRUST[i][2], max(TRUST[i][1], (good + 4) / (all_ + 5)))
-    return post, right
+                good = sum(c * (p if v[i] > 0 else 1 - p) for v, c, p in own if v[i])
+                all_ = sum(c for v, c, _ in own if v[i])
+                right[k, i] = min(MOST, max(LEAST, (good + TRUST[i] * PRIOR_VOTES) / (all_ + PRIOR_VOTES)))
+    return {p: post[p[0], p[2]] for p in counts}, right
 
 
 def features(p: tuple) -> list[tuple]:
     kind, _, votes, shape = p
-    return [("bias", 0), ("kind", kind), ("shape", kind, shape), *(("vote", kind, i, v) for i, v in enumerate(votes))]
+    return [("bias", 0), ("kind", kind), *(("shape", kind, i, x) for i, x in enumerate(shape)), *(("vote", kind, i, v) for i, v in enumerate(votes))]
 
 
 def classifier(counts: dict[tuple, float], post: dict[tuple, float], rounds: int = 300) -> dict[tuple, float]:
@@ -160,7 +172,7 @@ def classifier(counts: dict[tuple, float], post: dict[tuple, float], rounds: int
     for _ in range(rounds):
         g: dict[tuple, float] = {}
         for fs, c, y in rows:
-            e = c * (1 / (1 + exp(-sum(w.get(f, 0.0) for f in fs))) - y)
+            e = c * (1 / (1 + exp(-max(-30.0, min(30.0, sum(w.get(f, 0.0) for f in fs))))) - y)
             for f in fs:
                 g[f] = g.get(f, 0.0) + e
         for f, x in g.items():
@@ -180,7 +192,9 @@ def _decision(w: dict[tuple, float], s: Column) -> Column:
 
     total = at("bias", 0)
     for k in range(len(KINDS)):
-        own = at("kind", k) + choose([(s["shape"] == n, at("shape", k, n)) for n in range(13) if ("shape", k, n) in w])
+        own = at("kind", k)
+        for i, name in enumerate(SHAPE):
+            own = own + choose([(s[name] == n, at("shape", k, i, n)) for n in range(13) if ("shape", k, i, n) in w])
         for i, name in enumerate(LABELERS):
             own = own + choose([(s[name] == v, at("vote", k, i, v)) for v in (-1, 0, 1)])
         total = total + F.when(s["kind"] == k, own).otherwise(F.lit(0.0))
@@ -197,12 +211,13 @@ def detect(docs: DataFrame, text: str = "text", extra: list[Column] | None = Non
     body = F.coalesce(F.col(text), F.lit(""))
     base, more = candidates(body)
     rows = written(docs.select(*(extra or []), base.alias("base"), more.alias("more")), "spans")
-    clash = lambda e: F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
-    rows = rows.withColumn("more", F.filter("more", lambda e: ~clash(e)))
+    # base spans of one kind are disjoint and in order
+    of_kind = let(F.col("base"), by_kind)
+    clash = lambda kinds, e: F.exists(kinds, lambda own: overlaps(own, e["start"], e["end"]))
+    rows = rows.withColumn("more", F.when(F.size("more") > 0, let(of_kind, lambda kinds: F.filter("more", lambda e: ~clash(kinds, e)))).otherwise(F.col("more")))
     each = rows.select(F.explode(F.concat("base", "more")).alias("s")).select("s.*")
-    # at most kinds x 2 x 3 ** labelers x 13 shapes rows
-    found = each.groupBy("kind", "base", *LABELERS, "shape").agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = {(r["kind"], r["base"], tuple(r[x] for x in LABELERS), r["shape"]): float(r["n"]) for r in found}
+    found = each.groupBy("kind", "base", *LABELERS, *SHAPE).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {(r["kind"], r["base"], tuple(r[x] for x in LABELERS), tuple(r[x] for x in SHAPE)): float(r["n"]) for r in found}
     post, _ = reliabilities(counts)
     w = classifier(counts, post)
     taken = F.filter("more", lambda s: _decision(w, s))
@@ -210,6 +225,12 @@ def detect(docs: DataFrame, text: str = "text", extra: list[Column] | None = Non
     return rows.withColumn("spans", short(F.concat(F.col("base"), taken))).withColumn("base", short(F.col("base"))).drop("more")
 
 
+def by_kind(spans: Column) -> Column:
+    """The spans of each kind, as an array of arrays."""
+    own = lambda k: F.filter(spans, lambda s: s["kind"] == k)
+    return F.array(*[own(k) for k in range(len(KINDS))])
+
+
 def listed(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -224,16 +245,22 @@ def redacted(docs: DataFrame, text: str = "text", count: str | None = "n_chars")
     """
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     found = detect(docs, text, [F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    body, kinds = F.col(names[text]), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    body, labels = F.col(names[text]), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        lead = F.concat(a["out"], F.substring(body, a["at"] + 1, s["start"] - a["at"]), F.get(kinds, s["kind"]))
-        return F.struct(F.when(fresh, lead).otherwise(a["out"]).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
+    def replaced(x: Column) -> Column:
+        """Each span that starts behind the end of all before it gives what lies between, and its label."""
+
+        def one(s: Column, i: Column) -> Column:
+            reach = F.array_max(F.transform(x["kinds"], lambda own: F.coalesce(last_before(own, s["start"])["end"], F.lit(0))))
+            # of spans that start together the first in order counts
+            again = (i > 0) & (F.get(x["all"], i - 1)["start"] == s["start"])
+            return F.when(again | (s["start"] < reach), "").otherwise(F.concat(between(x["parts"], reach, s["start"]), F.get(labels, s["kind"])))
+
+        last = F.array_max(F.transform(x["all"], lambda s: s["end"]))
+        return F.concat(F.array_join(F.transform(x["all"], one), ""), between(x["parts"], last, x["n"]))
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate(by_start, start, step, lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.length(body))))
+    done = let(F.struct(by_start.alias("all"), by_kind(F.col("spans")).alias("kinds"), chunks(body).alias("parts"), F.length(body).alias("n")), replaced)
     found = found.withColumn("_new", F.when(F.size("spans") > 0, done).otherwise(body))
     out = []
     for c, n in names.items():
@@ -246,6 +273,6 @@ def redacted(docs: DataFrame, text: str = "text", count: str | None = "n_chars")
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
-    found = detect(load(spark, sf_dir, "documents"), extra=[F.col("doc_id")])
+    found = finished(lambda: detect(load(spark, sf_dir, "documents"), extra=[F.col("doc_id")]), "personal-data")
     number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
     return found.select("doc_id", *[number(k) for k in KINDS], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
