@@ -27,8 +27,10 @@ RUN, WINDOW, COVERAGE = 3, 4, 0.8
 #: Half width of the band, in words: a share of the template's length, and this at least.
 BAND, BAND_SHARE = 6, 0.1
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Bytes of templates that are indexed and broadcast.
+INDEX_BYTES = 16 << 20
 
-#: Notices as their licenses word them (fixed values).
+#: Notices, and whole short licenses, as they are worded (fixed values).
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("all-rights-reserved", "All rights reserved."),
     ("mit-line", "Released under the MIT License."),
@@ -44,6 +46,18 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
     ("isc", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.'),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    (
+        "mit-whole",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    ),
+    (
+        "bsd-2-clause-whole",
+        'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    ),
+    (
+        "zlib-whole",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 
@@ -134,11 +148,14 @@ def find(t: Templates, texts: list[bytes], coverage: float) -> Iterator[tuple[in
         own.sort()
         group, done = [own[0]], []
         for x in [*own[1:], None]:
-            if x is not None and x[0] - group[-1][0] <= band // 2 and x[0] - group[0][0] <= band:
+            # diagonals a template's length apart are copies of their own
+            if x is not None and x[0] - group[-1][0] <= band // 2 and x[0] - group[0][0] <= min(band, len(words) - 1):
                 group.append(x)
                 continue
             shift = group[len(group) // 2][0]
-            lo, hi = max(0, shift - band), min(len(b), shift + len(words) + band)
+            # a copy that starts where the last one ended doesn't meet its words
+            before = done[-1][1] if done and shift >= done[-1][1] else 0
+            lo, hi = max(before, shift - band), min(len(b), shift + len(words) + band)
             n, s, e = align(words, b[lo:hi], shift - lo, band)
             s, e = s + lo, e + lo
             # neighbouring diagonals of one copy give the same place again
@@ -148,15 +165,26 @@ def find(t: Templates, texts: list[bytes], coverage: float) -> Iterator[tuple[in
             group = [x]
 
 
-def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, coverage: float = COVERAGE, key: str = "doc_id", text: str = "text") -> DataFrame:
+def of_table(templates: DataFrame, name: str = "name", text: str = "text") -> list[tuple[str, str]]:
+    """(name, text) of a table of templates, in order of names; null texts are left out, and more bytes than INDEX_BYTES are refused."""
+    rows = templates.select(F.col(name).cast("string").alias("name"), F.col(text).alias("text")).filter("name is not null and text is not null")
+    size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    if size > INDEX_BYTES:
+        raise ValueError(f"the templates have {size} bytes, more than {INDEX_BYTES}")
+    return [tuple(r) for r in rows.orderBy("name", "text").collect()]
+
+
+def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] | DataFrame = TEMPLATES, coverage: float = COVERAGE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per template found in a document, and per place.
 
     Returns (key, license, coverage, matched_words, start, end), places in code
     points, end exclusive.  Every copy in a text counts; null text is empty;
     texts without a template give no rows; repeated rows give theirs each;
-    null keys stay; other columns are not read.  The templates are a list in
-    the driver's program and broadcast.
+    null keys stay; other columns are not read.  The templates are a list or a
+    table (see ``of_table``), of bounded size, and are broadcast.
     """
+    if isinstance(templates, DataFrame):
+        templates = of_table(templates)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(index(templates))
 
