@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import load
+from leafmill.llm.common import finished, load, written
 from leafmill.llm.hashing import U, blocks, shingles, word_hashes
 
 PASSAGE, STRIDE = 64, 32
@@ -215,7 +215,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     Null texts are empty; texts and items without words leak nothing; repeated
     rows and items count each; null keys stay; other columns are not read.
     The test items are indexed and broadcast in blocks of a bounded number of
-    bytes (an item above it is a block of its own).
+    bytes (an item above it is a block of its own), one after the other.
     """
     tests = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text")).filter(F.col("text").isNotNull())
     size = tests.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
@@ -227,7 +227,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     for k in range(n):
         own = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         index = build([tuple(r) for r in own.orderBy("item_id", "text").collect()])
-        part = rows.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(index)), schema)
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+        part = rows.mapInArrow(_scanner(sent), schema)
+        if n > 1:
+            # one index at a time, on the driver as in the workers
+            part = written(part, f"leaks-{k}")
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
     return out.withColumnRenamed("doc_id", key) if key != "doc_id" else out
 
@@ -264,6 +269,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         own = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         sent = docs.sparkSession.sparkContext.broadcast(build([tuple(r) for r in own.orderBy("item_id", "text").collect()]))
         out = out.mapInArrow(_cleaner(sent, docs.columns.index(text)), docs.schema)
+        if n > 1:
+            out = written(out, f"clean-{k}")
+            sent.destroy()
     return out
 
 
@@ -281,4 +289,4 @@ def _cleaner(sent, column: int):
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leak of a benchmark item in any document."""
-    return scan(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return finished(lambda: scan(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")), "leaks")
