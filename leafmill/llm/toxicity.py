@@ -13,12 +13,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import load, remainder
+from leafmill.llm.common import finished, load, remainder, written
 
-#: The bounded sample the classifier is fitted on: labelled documents with the smallest hashes of their ids.
-TRAIN_ROWS = 8_000
+#: The bounded sample the classifier is fitted on: whole labelled documents with the smallest hashes of their ids, so many and with so many bytes at most.
+TRAIN_ROWS, TRAIN_BYTES = 8_000, 64 << 20
 #: Lengths of the n-grams, bits of their hashes, and how many the classifier may use.
 LENGTHS, BITS, FEATURES = (3, 4, 5), 20, 2_000
 THRESHOLD = 0.3
@@ -100,8 +101,8 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(v, -500, 500))))
 
 
-def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS) -> Classifier:
-    """Fit on at most ``rows`` labelled documents (those with the smallest hash of the id) that satisfy ``usable``.
+def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> Classifier:
+    """Fit on at most ``rows`` labelled documents of ``size`` bytes (those with the smallest hash of the id) that satisfy ``usable``.
 
     Null ids and labels are left out; repeated labels of an id count as toxic
     if any does; of repeated documents of an id one text is used; null text is
@@ -114,7 +115,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, key:
     own = own.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # at most ``rows`` pairs of numbers: bounded, whatever the input
     have = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(own), "doc_id")
-    have = have.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+    have = written(have.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")), "labelled")
+    # at most ``rows`` sums of lengths
+    before = F.sum("n").over(W.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    first = have.select("doc_id", F.octet_length("text").cast("long").alias("n")).withColumn("n", before).filter(F.col("n") <= size)
+    have = have.join(F.broadcast(first.select("doc_id")), "doc_id")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id")
@@ -150,6 +155,5 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", out: str = "sc
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a classifier that has not seen the held-out fold (2 of 0 to 3)."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs, load(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
-    out = score(docs, model)
+    out = finished(lambda: score(docs, train(docs, load(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)).drop("text"), "toxicity")
     return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
