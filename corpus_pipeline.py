@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import decontam, dedup, packing, pii, toxicity
-from leafmill.llm.common import load, remainder, written
+from leafmill.llm.common import finished, load, remainder
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold, by a classifier of the labelled documents outside the held-out fold."""
     model = toxicity.train(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
-    return toxicity.score(docs, model, out="_score").filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return toxicity.score(docs, model, out=name).filter(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +58,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages in order; each result is written as Parquet and read again as the next one's input."""
-    docs = load(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, f"stage-{name}")
-    return docs
+    """Apply the stages in order; each result is written as Parquet and read again as the next one's input.
+
+    What the stages have written on the way is deleted in the end.
+    """
+
+    def stages() -> DataFrame:
+        docs = load(spark, sf_dir, "documents")
+        for name, stage in STAGES[:-1]:
+            docs = finished(lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), f"stage-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
+
+    return finished(stages, "pipeline")
