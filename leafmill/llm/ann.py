@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import load, written
+from leafmill.llm.common import finished, load, written
 
 #: Rows and probing queries of one bucket that meet in one task.
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 4096, 1024
@@ -241,4 +241,4 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, ke
 
 def op9_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20, among all."""
-    return search(load(spark, sf_dir, "embeddings"))
+    return finished(lambda: search(load(spark, sf_dir, "embeddings")), "nearest")

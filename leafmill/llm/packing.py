@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import chunks_for, load, ranked, written
+from leafmill.llm.common import chunks_for, finished, load, ranked, written
 
 #: Pieces of one class ranked by one task.
 PIECES_PER_CHUNK = 100_000
@@ -101,10 +101,13 @@ def best_fit(capacity: int):
 
         pdf = pdf.sort_values(["length", "doc_id", "start", "rid"], ascending=[False, True, True, True], na_position="first", kind="stable").reset_index(drop=True)
         room: list[tuple[int, int]] = []
-        seq, off = [], []
+        seq, off, bins = [], [], 0
         for n in pdf["length"].tolist():
             i = bisect.bisect_left(room, (n, -1))
-            free, k = room.pop(i) if i < len(room) else (capacity, len(seq) and max(seq) + 1)
+            if i < len(room):
+                free, k = room.pop(i)
+            else:
+                free, k, bins = capacity, bins, bins + 1
             seq.append(k)
             off.append(capacity - free)
             bisect.insort(room, (free - n, k))
@@ -154,5 +157,5 @@ def _ddl(df: DataFrame) -> str:
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into sequences of 2048 tokens."""
-    out = pack(load(spark, sf_dir, "documents"))
+    out = finished(lambda: pack(load(spark, sf_dir, "documents")), "packed")
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "class")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import chunks_for, load, ranked, written
+from leafmill.llm.common import chunks_for, finished, load, ranked, written
 
 #: Rows of one shard numbered by one task.
 ROWS_PER_CHUNK = 200_000
@@ -63,5 +63,5 @@ def shard(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", text:
 
 def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 40 equal shards."""
-    out = shard(load(spark, sf_dir, "documents"), [1.0] * 40)
+    out = finished(lambda: shard(load(spark, sf_dir, "documents"), [1.0] * 40), "shards")
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
