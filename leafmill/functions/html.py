@@ -35,19 +35,20 @@ def first(c: Column, pattern: str, group: int = 1) -> Column:
 def defuse(c: Column) -> Column:
     """A '<' after which no '>' comes can't open a tag: blank it in long tails, so that tag patterns stay linear."""
 
+    def blanked(h: Column) -> Column:
+        tail = F.substring_index(h, ">", -1)
+        return F.when((F.length(tail) >= V.STRAY_TAIL) & tail.contains("<"), F.concat(F.left(h, F.length(h) - F.length(tail)), F.translate(tail, "<", " "))).otherwise(h)
 
-    def blanked(h: Column, tail: Column) -> Column:
-        head = F.left(h, F.length(h) - F.length(tail))
-        return F.when((F.length(tail) >= V.STRAY_TAIL) & tail.contains("<"), F.concat(head, F.translate(tail, "<", " "))).otherwise(h)
-
-    return let(c, lambda h: let(F.substring_index(h, ">", -1), lambda tail: blanked(h, tail)))
+    return let(c, blanked)
 
 
 def _entity(part: Column) -> Column:
     """What follows an ampersand, with the entity at its start, if any, decoded."""
     table = F.create_map(*[F.lit(x) for kv in V.ENTITIES.items() for x in kv])
 
-    def value(name: Column) -> Column:
+    def value(named: Column) -> Column:
+        # leading zeros don't count
+        name = F.regexp_replace(named, "^(#x?)0+(?=[0-9a-f])", "$1")
         digits = F.when(name.startswith("#x"), F.conv(F.substring(name, 3, 10), 16, 10)).otherwise(F.substring(name, 2, 11)).cast("decimal(20,0)")
         code = F.when((F.length(name) <= 12) & (digits <= 0x10FFFF), digits.cast("int"))
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
@@ -74,13 +75,42 @@ def untag(c: Column, by: str = " ") -> Column:
     return F.regexp_replace(c, f"<[^>]{_ATTR1}>", by)
 
 
+#: A pattern that matches nowhere.
+_NEVER = "(?!)"
+
+
+def closing(html: Column) -> Column:
+    """The names of all closing tags, in lower case, each once."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(html), F.lit("</([a-z][a-z0-9]*)"), F.lit(1)))
+
+
+def drop_pairs(html: Column, tags: tuple[str, ...], closed: Column, end: str) -> Column:
+    """Drop ``tags`` with all up to the next closing tag of theirs, which ``end`` ends; ``html`` is cheap to read again.
+
+    Tags that are never closed aren't searched for, and nothing behind the
+    last closing tag is searched, since nothing can pair there.
+    """
+    own = F.array_join(F.array_intersect(F.array(*map(F.lit, tags)), closed), "|")
+    either = F.when(own != "", own).otherwise(_NEVER)
+    head = F.coalesce(F.regexp_substr(html, F.concat(F.lit("(?is)^.*</(?:"), either, F.lit(f"){end}"))), F.lit(""))
+    pair = F.concat(F.lit("(?is)<("), either, F.lit(f")[\\s>].*?</\\1{end}"))
+    return F.concat(F.regexp_replace(head, pair, F.lit(" ")), F.substring(html, F.length(head) + 1, F.length(html)))
+
+
 def text_only(html: Column) -> Column:
     """The text of a fragment; entities are decoded after trimming, so edge blanks of theirs stay."""
-    c = F.regexp_replace(defuse(html), "(?s)<!--.*?-->", " ")
-    for tag in V.TEXT_TAGS:
-        end = "\\s*>" if tag == "textarea" else ">"
-        c = F.regexp_replace(c, f"(?is)<{tag}[\\s>].*?</{tag}{end}", " ")
-    return decode_entities(trim(F.regexp_replace(untag(c), "[ \\t\\r\\n]+", " ")))
+
+    def unshown(x: Column) -> Column:
+        # nothing pairs behind the last closing tag
+        head = F.coalesce(F.regexp_substr(x["html"], F.lit(f"(?is)^.*</(?:{'|'.join(V.TEXT_TAGS)})\\s*>")), F.lit(""))
+        c = head
+        for tag in V.TEXT_TAGS:
+            end = "\\s*>" if tag == "textarea" else ">"
+            c = F.regexp_replace(c, F.when(F.array_contains(x["closed"], tag), f"(?is)<{tag}[\\s>].*?</{tag}{end}").otherwise(_NEVER), F.lit(" "))
+        return F.concat(c, F.substring(x["html"], F.length(head) + 1, F.length(x["html"])))
+
+    bare = let(F.regexp_replace(defuse(html), "(?s)<!--.*?-->", " "), lambda h: let(F.struct(h.alias("html"), closing(h).alias("closed")), lambda x: F.when(F.size(F.array_intersect(x["closed"], F.array(*map(F.lit, V.TEXT_TAGS)))) > 0, unshown(x)).otherwise(x["html"])))
+    return decode_entities(trim(F.regexp_replace(untag(bare), "[ \\t\\r\\n]+", " ")))
 
 
 def reveal_escaped(html: Column) -> Column:
@@ -90,12 +120,22 @@ def reveal_escaped(html: Column) -> Column:
 
 
 def strip_noise(html: Column) -> Column:
-    """Drop comments, raw and boxed containers, and tags whose class names an advert or the like."""
-    c = F.regexp_replace(html, "(?s)<!--.*?-->", " ")
-    c = F.regexp_replace(c, f"(?is)<({'|'.join(V.RAW_TAGS)})[\\s>].*?</\\1\\s*>", " ")
-    c = F.regexp_replace(c, f"(?is)<({'|'.join(V.BOX_TAGS)})[\\s>].*?</\\1>", " ")
-    noise = f"""(?is)<([a-z][a-z0-9]*)[^>]{_ATTR1}class=["'][^"']{{0,300}}(?:{"|".join(V.NOISE_CLASSES)})[^"']{{0,300}}["'][^>]{_ATTR}>.*?</\\1>"""
-    return F.regexp_replace(c, noise, " ")
+    """Drop comments, raw and boxed containers, and tags whose class names an advert or the like.
+
+    Only tags with a closing tag somewhere can pair; the others aren't searched for.
+    """
+    words = "|".join(V.NOISE_CLASSES)
+    rest = f"""[^>]{_ATTR1}class=["'][^"']{{0,300}}(?:{words})[^"']{{0,300}}["'][^>]{_ATTR}>.*?</\\1>"""
+
+    def cleaned(x: Column) -> Column:
+        # names in falling order: a longer one comes before those it starts with
+        named = F.array_join(F.sort_array(x["closed"], asc=False), "|")
+        noisy = (named != "") & x["html"].rlike(f"""(?i)class=["'][^"']{{0,300}}(?:{words})""")
+        pattern = F.when(noisy, F.concat(F.lit("(?is)<("), named, F.lit(f"){rest}"))).otherwise(_NEVER)
+        raw = drop_pairs(x["html"], V.RAW_TAGS, x["closed"], "\\s*>")
+        return let(raw, lambda h: F.regexp_replace(drop_pairs(h, V.BOX_TAGS, x["closed"], ">"), pattern, F.lit(" ")))
+
+    return let(F.regexp_replace(html, "(?s)<!--.*?-->", " "), lambda h: let(F.struct(h.alias("html"), closing(h).alias("closed")), cleaned))
 
 
 def link_text_length(html: Column) -> Column:
@@ -149,7 +189,7 @@ def _from(html: Column, pattern: str) -> Column:
 def pick_main(html: Column) -> Column:
     """The main part: all articles, else what is marked as main, else the body without link blocks."""
     def by_mark(h: Column) -> Column:
-        role = _from(h, f"""<(?:main|div)[^>]{_ATTR}role=["']main["'][\\s>]""")
+        role = F.when(h.rlike("""(?i)role=["']main["']"""), _from(h, f"""<(?:main|div)[^>]{_ATTR}role=["']main["'][\\s>]"""))
         marked = let(role, lambda r: F.when(F.lower(F.substring(r, 2, 4)) == "main", balanced_block(r, "main")).otherwise(balanced_block(r, "div")))
         body = let(_from(h, "<body[\\s>]"), lambda b: F.coalesce(F.get(F.split(b, "(?i)</body>", 2), F.lit(0)), h))
         return F.coalesce(marked, balanced_block(_from(h, "<main[\\s>]"), "main"), density_filter(body))
@@ -158,7 +198,9 @@ def pick_main(html: Column) -> Column:
         enough = ~h.rlike("(?i)<main[\\s>]") | (F.length(text_only(F.array_join(found, ""))) >= V.ARTICLE_MIN)
         return F.when((F.size(found) > 0) & enough, F.array_join(found, "\n")).otherwise(by_mark(h))
 
-    articles = lambda h: F.regexp_extract_all(h, F.lit("(?is)<article[\\s>].*?</article\\s*>"), F.lit(0))
+    # behind the last closing tag nothing can pair
+    paired = lambda h: F.regexp_extract(h, "(?is)^.*</article\\s*>", 0)
+    articles = lambda h: F.when(h.rlike("(?i)</article"), F.regexp_extract_all(paired(h), F.lit("(?is)<article[\\s>].*?</article\\s*>"), F.lit(0))).otherwise(F.array().cast("array<string>"))
     return let(html, lambda h: let(articles(h), lambda found: by_article(h, found)))
 
 

@@ -80,11 +80,14 @@ def _joined(a: Column, b: Column) -> Column:
 
 
 def xml_text(c: Column) -> Column:
-    """Text of an XML value: CDATA opened, then tags and entities taken off up to three times."""
-    c = F.regexp_replace(c, "(?s)<!\\[CDATA\\[(.*?)\\]\\]>", "$1")
-    for _ in range(3):
-        c = decode_entities(untag(c))
-    return squeeze(c)
+    """Text of an XML value: CDATA opened, then tags and entities taken off up to three times, as long as there are any."""
+
+    def bared(t: Column, rounds: int) -> Column:
+        more = let(decode_entities(untag(t)), lambda x: bared(x, rounds - 1)) if rounds > 1 else decode_entities(untag(t))
+        return F.when(t.contains("<") | t.contains("&"), more).otherwise(t)
+
+    opened = let(c, lambda t: F.when(t.contains("<![CDATA["), F.regexp_replace(t, "(?s)<!\\[CDATA\\[(.*?)\\]\\]>", "$1")).otherwise(t))
+    return squeeze(let(opened, lambda t: bared(t, 3)))
 
 
 def parse_feed(xml: Column, limit: int) -> Column:
@@ -106,7 +109,10 @@ def _feed(xml: Column, limit: int) -> Column:
             F.left(xml_text(about), F.lit(V.FEED_SUMMARY_CHARS)).alias("summary"),
         )
 
-    items = F.slice(F.filter(F.transform(every, item), lambda i: (i["title"] != "") | (i["url"] != "") | (i["summary"] != "")), 1, limit)
+    some = lambda i: (i["title"] != "") | (i["url"] != "") | (i["summary"] != "")
+    none = F.array().cast("array<struct<title:string,url:string,summary:string>>")
+    # items behind the last one that is shown aren't read
+    items = F.aggregate(every, none, lambda out, x: F.when(F.size(out) >= limit, out).otherwise(let(item(x), lambda i: F.when(some(i), F.concat(out, F.array(i))).otherwise(out))))
     line = lambda i: F.concat(F.lit("- "), i["title"], F.when(i["url"] != "", F.concat(F.lit(" — "), i["url"])).otherwise(""), F.when(i["summary"] != "", F.concat(F.lit("\n  "), i["summary"])).otherwise(""))
     head = xml_text(F.regexp_extract(xml, "(?is)<title[^>]*>(.*?)</title>", 1))
     return let(items, lambda own: F.struct(head.alias("title"), F.size(own).alias("count"), own.alias("items"), F.array_join(F.transform(own, line), "\n").alias("text")))
