@@ -24,18 +24,28 @@ def sniff_charset(body: Column, content_type: Column) -> Column:
     )
 
 
+def _controls(e: UnicodeError) -> tuple[str, int]:
+    """Single bytes that a code page leaves open are controls below A0, else unreadable."""
+    bad = e.object[e.start : e.end]
+    return "".join(chr(b) if b < 0xA0 else "\ufffd" for b in bad), e.end
+
+
+codecs.register_error("leafmill-controls", _controls)
+
+
 def decode_bytes(body: bytes, charset: str | None) -> tuple[str, str]:
-    """(text, charset): never fails; a wrong declaration gives way to UTF-8 if that is clean."""
-    name = (charset or "utf-8").lower().replace("gb2312", "gbk").replace("gb_2312", "gbk")
-    try:
-        codec = codecs.lookup({"utf8": "utf-8", "iso-8859-1": "cp1252", "latin1": "cp1252", "gbk": "gb18030"}.get(name, name)).name
-    except LookupError:
-        codec = "utf-8"
-    read = lambda c: bytes(body).decode(c, "replace").removeprefix("﻿")
+    """(text, charset): never fails; a wrong declaration gives way to UTF-8 if that is clean, an unknown one at once."""
+    name = (charset or "utf-8").lower().replace("gb2312", "gbk", 1).replace("gb_2312", "gbk", 1)
+    codec = V.CHARSETS.get(name, "utf-8")
+
+    def read(codec: str) -> str:
+        errors = "leafmill-controls" if codec in V.CODE_PAGES else "replace"
+        return bytes(body).decode(codec, errors).removeprefix("\ufeff")
+
     text = read(codec)
-    if name not in ("utf-8", "utf8") and "�" in text[:2000]:
+    if name not in ("utf-8", "utf8") and "\ufffd" in text[:2000]:
         plain = read("utf-8")
-        if "�" not in plain[:2000]:
+        if "\ufffd" not in plain[:2000]:
             return plain, "utf-8"
     return text, name
 

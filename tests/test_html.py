@@ -1,10 +1,15 @@
+import random
+import re
 import time
+from encodings import aliases
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from leafmill.functions import html as H
-from leafmill.functions import render, urls
+from leafmill.functions import render, urls, values
 from leafmill.functions.text import join_pages, parse_feed, payload_kind, smart_truncate
 from leafmill.operators import decode, fetch, jsonx, markdown
 
@@ -23,7 +28,7 @@ PROSE = "Some words of prose that go on for a while, so that the part counts as
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("&mdash;&ldquo;x&rdquo;", "—“x”"), ("&amp;lt;", "&lt;"), ("&#8364; &#x20ac; &euro", "€ € €"), ("&copy2026", "&copy2026"), ("&Prime;", "′"), ("&nope; & &", "&nope; & &"), ("&#1114112;", "&#1114112;"), ("a&zwj;b", "ab"), ("&#99999999999999999999999;", "&#99999999999999999999999;"), (None, None), ("", "")],
+    [("&mdash;&ldquo;x&rdquo;", "—“x”"), ("&amp;lt;", "&lt;"), ("&#8364; &#x20ac; &euro", "€ € €"), ("&copy2026", "&copy2026"), ("&Prime;", "′"), ("&nope; & &", "&nope; & &"), ("&#1114112;", "&#1114112;"), ("a&zwj;b", "ab"), ("&#99999999999999999999999;", "&#99999999999999999999999;"), ("&#0000000000065;&#x00000000000042;", "AB"), (None, None), ("", "")],
 )
 def test_entities(spark, text, want):
     assert of(spark, H.decode_entities, text) == want
@@ -152,7 +157,29 @@ def test_compact_json():
     assert jsonx.compact("{") is None
     assert jsonx.compact(None) is None
     deep = "[" * 5000 + "]" * 5000
-    assert jsonx.compact(deep) is None or jsonx.compact(deep).startswith("[[")
+    assert jsonx.compact(deep) in (None, deep)
+    assert jsonx.compact('["\\ud800", "\\ud83d\\ude00", 1e999, 1e-7, 1e21, 9007199254740993, -0, 0.1, 1.50]') == '["\\ud800","😀",null,1e-7,1e+21,9007199254740992,0,0.1,1.5]'
+    assert jsonx.compact("NaN") is None
+    nested = '{"a":' * 13 + '"' + "x" * 1600 + '"' + "}" * 13
+    assert jsonx.compact(nested) == nested
+    assert jsonx.compact(nested[5:-1]) != nested[5:-1]
+
+
+@given(st.floats(allow_nan=False, allow_infinity=False))
+def test_numbers_are_read_back_and_are_shortest(x):
+    out = jsonx.number(x)
+    assert float(out) == x
+    assert ("e" in out) == (x != 0 and not 1e-6 <= abs(x) < 1e21)
+    assert len(re.sub("[^0-9]", "", out.split("e")[0]).strip("0")) == len(re.sub("[^0-9]", "", repr(x).split("e")[0]).strip("0"))
+
+
+def test_no_charset_fails():
+    rng = random.Random(0)
+    for name in {*aliases.aliases, *aliases.aliases.values(), *values.CHARSETS, "idna", "undefined", "unicode_escape", "", "x" * 50}:
+        text, charset = decode.decode_bytes(bytes(rng.randrange(256) for _ in range(60)), name)
+        text.encode()
+        assert charset
+    assert decode.decode_bytes(b"\x81\x93x", "ascii") == ("\x81“x", "ascii")
 
 
 @pytest.mark.parametrize(
@@ -209,14 +236,25 @@ def test_markdown_stays_linear():
     began = time.time()
     for bomb in ("<div>" * 10_000, "<img>" * 10_000, "<b>" * 5_000 + "</b>", "&" * 20_000, "<" * 50_000):
         markdown.render(bomb)
-    assert time.time() - began < 20
+    assert time.time() - began < 3
 
 
 def test_adversarial_html(spark):
-    began = time.time()
-    for bomb in ("<div>" * 10_000, "<article>" * 10_000, "<style " * 10_000, "<a href='x" * 5_000, "<!--" * 10_000):
-        of(spark, H.body_text, bomb)
-    assert time.time() - began < 60
+    """A page of broken tags takes no longer than one of as many good ones, once the plan is there."""
+    of(spark, H.body_text, "<p>x</p>")
+
+    def seconds(*pages):
+        began = time.time()
+        for page in pages:
+            assert of(spark, H.body_text, page) is not None
+            assert of(spark, H.main_html, page) is not None
+        return time.time() - began
+
+    overhead = seconds("<p>x</p>")
+    assert seconds("<div>" * 10_000) < 2 * (overhead + 0.9)
+    assert seconds(*(f"<{t}" * 10_000 + "<p>x</p>" for t in ("img", "style", "article"))) < 3 * overhead + 3.0
+    more = ("<style>" * 40_000, "</style>" + "<style>" * 40_000, "<script>" * 20_000 + "</script>", "<article>" * 10_000, "<div class='ads'>" * 10_000, "<style " * 10_000, "<a href='x" * 5_000, "<!--" * 10_000, "<nav><aside>" * 5_000 + "</nav>")
+    assert seconds(*more) < len(more) * (overhead + 2)
 
 
 def test_gates(spark):
