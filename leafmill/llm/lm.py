@@ -19,8 +19,8 @@ starts in the state of the end token, and no history reaches back across it.
 
 The automaton of a large corpus fits no machine, so its arcs travel to the
 texts: texts are cut into blocks of a fixed size, and each block sends its
-distinct n-grams, as 64-bit hashes, to the buckets of the hash space, where
-their counts meet and are added up.  The counts come back to the block, which
+distinct n-grams, as hashes, to the buckets of the hash space, where their
+counts meet and are added up.  The counts come back to the block, which
 now holds just the arcs and failure arcs that its own texts can take, and is
 traversed.  A frequent n-gram meets once per block, not once per occurrence.
 """
@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import load, remainder, written
+from leafmill.llm.common import finished, load, remainder, written
 from leafmill.llm.hashing import U, blocks, mix, word_hashes
 
 #: Longest n-gram, and the strength of the prior of n-grams of two, three ... words.
@@ -49,6 +49,12 @@ BUCKET_POSITIONS = 1 << 20
 _INSIDE = np.ones(256, bool)
 _INSIDE[[9, 10, 11, 12, 13, 32]] = False
 END = U(0x5851F42D4C957F2D)
+#: Bits of the hashes of single words and of longer n-grams. An n-gram that isn't there is taken for one that is with a probability of their number / 2 ** 56.
+WORD_BITS, GRAM_BITS = 63, 56
+
+
+def _bits(n: int) -> int:
+    return WORD_BITS if n == 1 else GRAM_BITS
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -74,17 +80,16 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, np.cumsum(n), END), n + 1
 
 
-def grams(h: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def grams(h: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each length: the hashes of the n-grams that end at each position, and whether there is one.
 
-    ``first``: position in its piece of each token.  Hashes have 63 bits.
+    ``first``: position in its piece of each token.
     """
-    out, g = [], h
+    g = h
     for n in range(1, order + 1):
         if n > 1:
             g = mix(np.concatenate([np.zeros(1, U), g[:-1]]) * U(0xD1342543DE82EF95) + h)
-        out.append((g >> U(1), first >= n - 1))
-    return out
+        yield g >> U(64 - _bits(n)), first >= n - 1
 
 
 class _Pieces:
@@ -166,8 +171,8 @@ class Block:
 
 def sent(made: DataFrame, order: int, buckets: int) -> DataFrame:
     """(bucket, block, n, size, keys, counts): each block's distinct n-grams with their counts in its training texts."""
-    # equal parts of the 63-bit hash space
-    bounds = np.array([(i << 63) // buckets for i in range(1, buckets)], U)
+    # equal parts of the space of hashes
+    bounds = {b: np.array([(i << b) // buckets for i in range(1, buckets)], U) for b in (WORD_BITS, GRAM_BITS)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +187,7 @@ def sent(made: DataFrame, order: int, buckets: int) -> DataFrame:
                     if not len(key):
                         continue
                     key, c = key[at], np.add.reduceat(x & U(1), at)
-                    edge = np.concatenate([[0], np.searchsorted(key, bounds), [len(key)]])
+                    edge = np.concatenate([[0], np.searchsorted(key, bounds[_bits(n)]), [len(key)]])
                     some = np.flatnonzero(np.diff(edge))
                     parts = [(k, slice(edge[k], edge[k + 1])) for k in some.tolist()]
                     yield pa.RecordBatch.from_arrays(
@@ -322,5 +327,5 @@ def score(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "tex
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of nine of ten."""
-    out = score(load(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0)
+    out = finished(lambda: score(load(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0), "scores")
     return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
