@@ -66,6 +66,10 @@ NEXT_TEXT = "^(?:[›»>]+\\s*)?(?:下一页|下页|下一篇|下一頁|下頁|
 HINT_END = "(offset 已到文末，无更多内容)"
 HINT_EMPTY = "登录墙 / SPA 页 / 空页面；SPA 需安装 playwright"
 NOTHING = "(无可读内容)"
+HINT_BLOCKED, HINT_BLOCKED_EMPTY = "已渲染但被人机验证页拦截，保留静态提取结果", "已渲染但被人机验证页拦截（无静态内容可用）"
+HINT_RENDERED_EMPTY = "已渲染仍无可读内容（可能登录墙或反爬拦截）"
+SITEMAP = "Unsupported content (XML sitemap)"
+BATCH_LINKS, CRAWL_LINKS, CRAWL_QUEUE = 6, 100, 20  # links shown, links taken of a page, queue places for each page of the budget
 
 # --- charset labels of the web's encoding standard, by codec ---------------------------------
 _LABELS = {

@@ -160,6 +160,20 @@ def read_markdown(spark, folder):
     return markdown.with_markdown(read_pages(spark, folder)).select("page_id", "markdown")
 
 
+_PLAIN = "regexp_replace(translate(text, '&<>', '+()'), '[ \\t\\r\\n]+', ' ', 'g')"
+_MD = "'<article ><h2>' || lang || '</h2><p>' || x || ' <b>bold</b> <a href=\"/u\">a <em>link</em></a><img alt=\"pic\" src=\"/p.png\"><img alt=\"\" src=\"/q\"></p><ul><li>one</li><li><strong>two</strong></li></ul><ol><li>a_b</li><li>c</li></ol><blockquote><p>q1</p><p>q2</p></blockquote><pre><code class=\"language-py\">x = [' || doc_id || ']</code></pre><table><tr><th>k|k</th><th>v</th></tr><tr><td>' || doc_id || '</td><td><code>z</code></td></tr></table><hr></hr><section>end &amp; more</section></article>'"
+
+
+@query(
+    f"""select doc_id, '## ' || lang || n || n || {Q.trim(r"regexp_replace(x, '([\\`*_\[\]])', '\\\1', 'g')")} || ' **bold** [a *link*](/u)![pic](/p.png)' || n || n || '- one' || n || '- **two**' || n || n || '1. a\\_b' || n || '2. c' || n || n || '> q1' || n || '> ' || n || '> q2' || n || n || '```py' || n || 'x = [' || doc_id || ']' || n || '```' || n || n || '| k\\|k | v |' || n || '| ' || doc_id || ' | `z` |' || n || '|--|--|---|' || n || n || '---' || n || n || 'end & more' as markdown
+    from (select doc_id, lang, chr(10) as n, {_PLAIN} as x from documents where lang is not null)"""
+)
+def markdown_blocks(spark, folder):
+    """Headings, paragraphs, links, images, lists, quotes, code, tables, lines and sections made of every document."""
+    x = table(spark, folder, "documents").filter("lang is not null").select("doc_id", "lang", F.expr(_PLAIN.replace(", 'g')", ")")).alias("x"))
+    return markdown.with_markdown(x.select("doc_id", F.expr(_MD).alias("html"))).select("doc_id", "markdown")
+
+
 # --- slices ----------------------------------------------------------------------------------
 
 
@@ -202,20 +216,22 @@ def _sliced(spark, folder, offset, limit):
 
 
 @query(
-    f"""with t as (select conv_id, turn, text from conversations where turn < 3),
-    a as (select conv_id, text as x from t where turn = 0),
-    b as (select a.conv_id, case when t.text is null then x else {Q.join_pages('x', 'y')} end as x from (select a.conv_id, a.x, right(a.x, 40) || t.text as y, t.text from a left join t on t.conv_id = a.conv_id and t.turn = 1) a left join t on t.conv_id = a.conv_id and t.turn = 1),
-    d as (select b.conv_id, case when t.text is null then x else {Q.join_pages('x', 't.text')} end as text from b left join t on t.conv_id = b.conv_id and t.turn = 2)
-    select conv_id, text from d"""
+    f"""with recursive t as (select conv_id, text, row_number() over (partition by conv_id order by turn, text) as n from conversations),
+    r as (select conv_id, text as x, 1 as n from t where n = 1
+    union all select conv_id, {Q.join_pages('x', 'y')} as x, n from (select r.conv_id, r.x, t.n, case when t.n % 2 = 0 then right(r.x, 40) || t.text else t.text end as y from r join t on t.conv_id = r.conv_id and t.n = r.n + 1))
+    select conv_id, arg_max(x, n) as text, max(n) as n_pages from r group by conv_id"""
 )
 def join_pages(spark, folder):
-    """Up to three pages of a text joined; the second repeats the end of the first."""
-    t = table(spark, folder, "conversations").filter("turn < 3")
-    page = lambda n: t.filter(c("turn") == n).select("conv_id", c("text").alias(f"p{n}"))
-    x = page(0).join(page(1), "conv_id", "left").join(page(2), "conv_id", "left")
-    two = F.when(c("p1").isNull(), c("p0")).otherwise(text.join_pages(c("p0"), F.concat(F.right(c("p0"), F.lit(40)), c("p1"))))
-    x = x.withColumn("two", two)
-    return x.select("conv_id", F.when(c("p2").isNull(), c("two")).otherwise(text.join_pages(c("two"), c("p2"))).alias("text"))
+    """All turns of each conversation joined in order; every other one repeats the end of what was before."""
+    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    first = F.struct(F.element_at("t", 1)["text"].alias("x"), F.lit(1).alias("n"))
+
+    def step(a, r):
+        again = F.when((a["n"] + 1) % 2 == 0, F.concat(F.right(a["x"], F.lit(40)), r["text"])).otherwise(r["text"])
+        return F.struct(text.join_pages(a["x"], again).alias("x"), (a["n"] + 1).alias("n"))
+
+    joined = F.aggregate(F.slice("t", 2, F.size("t")), first, step)
+    return turns.select("conv_id", joined.alias("j")).select("conv_id", c("j.x").alias("text"), c("j.n").alias("n_pages"))
 
 
 # --- gates -----------------------------------------------------------------------------------
@@ -253,12 +269,12 @@ def retry_after(spark, folder):
     return table(spark, folder, "events").select("event_id", fetch.retry_after_ms(F.expr(_RETRY.replace("varchar(9)", "string"))).alias("wait_ms"))
 
 
-@query("select doc_id, (doc_id % 3 = 1 or (doc_id % 3 = 2 and length(text) < 1)) as is_binary from documents")
+@query("select doc_id, doc_id % 5 in (1, 2) as is_binary from documents")
 def binary_gate(spark, folder):
-    """Bodies with a NUL or many control characters."""
-    nul, control = F.concat(F.lit(b"ab\x00"), F.encode("text", "UTF-8")), F.encode("text", "UTF-8")
-    body = F.when(c("doc_id") % 3 == 1, nul).otherwise(control)
-    return table(spark, folder, "documents").select("doc_id", decode.looks_binary(body).alias("is_binary"))
+    """Bodies with a NUL, with more and with fewer control characters than may be, behind the bytes that are looked at, and text."""
+    body, controls = F.encode("text", "UTF-8"), lambda n: F.lit(b"\x01" * n + b"a" * (512 - n))
+    kinds = F.when(c("doc_id") % 5 == 1, F.concat(F.lit(b"ab\x00"), body)).when(c("doc_id") % 5 == 2, F.concat(controls(154), body)).when(c("doc_id") % 5 == 3, F.concat(controls(153), body)).when(c("doc_id") % 5 == 4, F.concat(controls(0), F.lit(b"\x00\x01"), body)).otherwise(body)
+    return table(spark, folder, "documents").select("doc_id", decode.looks_binary(kinds).alias("is_binary"))
 
 
 # --- URLs and links ------------------------------------------------------------------------------
@@ -354,13 +370,23 @@ def compact_json_clip(spark, folder):
     return table(spark, folder, "documents").select("doc_id", jsonx.compact_json(x).alias("json"))
 
 
-@query("select doc_id, (case doc_id % 3 when 0 then 'utf-16le' when 1 then 'utf-16be' else 'utf-8' end) as charset, text from documents")
+@query("""select event_id, '{"1":"\\ud83d😀","id":' || event_id || ',"k":[' || event_id * 1000003 || ',0.5,1e-7,0.000001,1e+21,100000000000000000000,null,9007199254740992,' || (case event_id % 2 when 0 then '0' else '-' || event_id end) || ']}' as json from events""")
+def compact_json_numbers(spark, folder):
+    """Numbers as doubles in their shortest form, halves of a character pair, keys that are indices first."""
+    x = F.concat(F.lit('{"id": '), c("event_id"), F.lit(', "k": ['), c("event_id") * 1000003, F.lit(".0, 5e-1, 1.0E-7, 1e-6, 1e21, 1e20, 1e999, 9007199254740993, "), F.when(c("event_id") % 2 == 0, "-0").otherwise(F.concat(F.lit("-"), c("event_id"), F.lit(".00"))), F.lit('], "1": "\\ud83d\\ud83d\\ude00"}'))
+    return table(spark, folder, "events").select("event_id", jsonx.compact_json(x).alias("json"))
+
+
+@query("select doc_id, (case doc_id % 3 when 0 then 'utf-16le' when 1 then 'utf-16be' else 'utf-8' end) as charset, text from documents union all select -1 - doc_id, ['gbk', 'shift_jis', 'utf-8', 'latin1', 'hex', 'windows-1251'][doc_id % 6 + 1], ['中文页面', '<meta charset=\"shift_jis\">日本語', '中文好', 'naïve “x”', 'plain ü', 'Привет'][doc_id % 6 + 1] from documents")
 def decode_roundtrip(spark, folder):
-    """Texts encoded three ways and read again by their marks."""
+    """Texts encoded three ways and read again by their marks; and by headers and tags, true, wrong and unknown ones."""
     marked = lambda mark, cs: F.concat(F.lit(mark), F.encode("text", cs))
     body = F.when(c("doc_id") % 3 == 0, marked(b"\xff\xfe", "UTF-16LE")).when(c("doc_id") % 3 == 1, marked(b"\xfe\xff", "UTF-16BE")).otherwise(F.encode("text", "UTF-8"))
-    x = table(spark, folder, "documents").select("doc_id", decode.decode(body, F.lit("text/html")).alias("d"))
-    return x.select("doc_id", "d.charset", "d.text")
+    x = table(spark, folder, "documents").select("doc_id", body.alias("body"), F.lit("text/html").alias("kind"))
+    said = [("中文页面", "gbk", "gb2312"), ('<meta charset="shift_jis">日本語', "cp932", None), ("中文好", "utf-8", "gbk"), ("naïve “x”", "cp1252", "latin1"), ("plain ü", "utf-8", "hex"), ("Привет", "cp1251", "windows-1251")]
+    pick = lambda xs: F.element_at(F.array(*xs), (c("doc_id") % 6 + 1).cast("int"))
+    more = x.select((-1 - c("doc_id")).alias("doc_id"), pick([F.lit(t.encode(codec)) for t, codec, _ in said]).alias("body"), pick([F.lit(f"text/html; charset={name}" if name else "text/html") for *_, name in said]).alias("kind"))
+    return x.union(more).select("doc_id", decode.decode(c("body"), c("kind")).alias("d")).select("doc_id", "d.charset", "d.text")
 
 
 @query("select event_id, (case event_id % 4 when 0 then 'json' when 1 then 'feed' when 2 then 'unsupported' else 'html' end) as kind from events")
@@ -444,7 +470,7 @@ def batch_report(spark, folder):
 def read_report(spark, folder):
     """Text forms of single reads."""
     r = read.read(read_pages(spark, folder), 1500)
-    row = F.struct(*[c(x) for x in ("url", "title", "site_name", "lang", "mode", "truncated", "chars_total", "chars_returned", "chars_start", "text")], F.lit("").alias("published"), F.lit("").alias("author"), F.lit("utf-8").alias("charset"), F.lit(0).alias("feed_count"), F.lit(1).alias("pages"), F.lit(False).alias("rendered"), F.lit("").alias("spa_hint"), F.lit(None).cast("string").alias("error"))
+    row = F.struct(*[c(x) for x in ("url", "title", "site_name", "lang", "mode", "truncated", "chars_total", "chars_returned", "chars_start", "text")], F.lit("").alias("published"), F.lit("").alias("author"), F.lit("utf-8").alias("charset"), F.lit(0).alias("feed_count"), F.lit(1).alias("pages"), F.lit(False).alias("rendered"), F.lit("").alias("spa_hint"), F.lit(False).alias("cached"), F.lit(None).cast("string").alias("error"))
     return r.select("page_id", row.alias("r")).select("page_id", render.result(c("r")).alias("report"))
 
 
@@ -488,12 +514,12 @@ def paginate(spark, folder):
     return out.select("url", "text", c("n_pages").cast("long").alias("n_pages"))
 
 
-def _site(spark, folder):
+def _site(spark, folder, body=None):
     """Sites of fifty pages: page i of a site links to 3i+1, 3i+2, 3i+3, to itself, outside and to a picture."""
     url = lambda site, i: F.concat(F.lit("http://s"), site.cast("string"), F.lit(".example.com/"), i.cast("string"))
     site, i = F.floor(c("page_id") / 50), c("page_id") % 50
     own = [url(site, i * 3 + k) for k in (1, 2, 3)] + [url(site, i), F.lit("http://o.example.com/"), F.concat(url(site, i), F.lit(".png"))]
-    return read_pages(spark, folder).select(url(site, i).alias("norm"), F.array(*own).alias("links"), H.title(c("html")).alias("title"))
+    return read_pages(spark, folder).select(url(site, i).alias("norm"), F.array(*own).alias("links"), H.title(c("html")).alias("title"), *([body.alias("text")] if body is not None else []))
 
 
 _CRAWL = f"""with recursive p as (select page_id // 50 as site, page_id % 50 as i, {Q.title('html')} as title from pages),
@@ -518,9 +544,73 @@ def crawl_summary(spark, folder):
     return navigate.site_summary(navigate.crawl(pages.filter(c("norm").endswith("/0")).select(c("norm").alias("entry")), pages, 50, 3))
 
 
-@query(f"select 'http://s' || site || '.example.com/' || i as url, repeat('  ', depth::int) || '[' || depth || '] ' || coalesce(nullif(title, ''), 'http://s' || site || '.example.com/' || i) || ' (' || length(title) || ' 字符)  http://s' || site || '.example.com/' || i as line from ({_CRAWL}) where title is not null")
+@query(
+    f"""with w as (select w.site, w.i, w.depth, t.title, t.x from ({_CRAWL}) w left join (select page_id, {Q.title('html')} as title, {Q.body_text('html')} as x from pages) t on t.page_id = w.site * 50 + w.i and w.title is not null),
+    u as (select *, 'http://s' || site || '.example.com/' || i as url from w)
+    select 'http://s' || site || '.example.com/0' as entry, '站点: s' || site || '.example.com · 爬取 ' || count(x) || '/' || count(*) || ' 页' || (case when count(*) > count(x) then ' · ' || (count(*) - count(x)) || ' 页失败' else '' end)
+    || coalesce(string_agg(chr(10) || repeat('  ', depth::int) || '[' || depth || '] ' || coalesce(nullif(title, ''), url) || ' (' || length(x) || ' 字符)  ' || url || (case when x <> '' then chr(10) || repeat('  ', depth::int) || '   ' || left(x, 80) else '' end), '' order by depth, i) filter (where x is not null), '')
+    || coalesce(string_agg(chr(10) || '[失败] ' || url || ' — HTTP 404 Not Found', '' order by depth, i) filter (where x is null), '') as report from u group by site"""
+)
 def crawl_report(spark, folder):
-    """One line for each page of the walks."""
-    pages = _site(spark, folder)
-    walk = navigate.crawl(pages.filter(c("norm").endswith("/0")).select(c("norm").alias("entry")), pages, 50, 3).filter("error is null")
-    return walk.select("url", render.site_page(c("url"), c("depth"), c("title"), F.length("title")).alias("line"))
+    """The text form of each walk: its head, a line and the first words of each page, the failures."""
+    pages = _site(spark, folder, H.body_text(c("html")))
+    walk = navigate.crawl(pages.filter(c("norm").endswith("/0")).select(c("norm").alias("entry")), pages, 50, 3)
+    return navigate.site_report(walk.withColumn("chars", F.length("text")))
+
+
+# --- whole reads -----------------------------------------------------------------------------------------
+
+
+_MORE = "'More of page ' || page_id || ', and enough of it.'"
+_RAW = "http://raw.example.com/"
+
+
+@query(
+    f"""with p as (select page_id, page_id % 8 as k, '{_RAW}' || page_id as url, html, {Q.body_text('html')} as x, {Q.title('html')} as t, {Q.language('html')} as l from pages)
+    select url, (case k when 1 then 'HTTP 404 Not Found' when 2 then '{V.SITEMAP}' when 6 then 'Unsupported content-type: image/png' end) as error,
+    (case k when 0 then 'html' when 3 then 'json' when 4 then 'html' when 5 then 'html' when 7 then 'feed' end) as kind,
+    (case when k in (0, 4, 5) then t when k = 3 then '' when k = 7 then 'Feed' end) as title,
+    (case when k in (0, 4, 5) then 'utf-8' when k = 3 then 'json' when k = 7 then 'feed' end) as charset,
+    (case when k in (0, 4) then x when k = 5 then {Q.join_pages('x', _MORE)} when k = 3 then '{{"id":' || page_id || '}}' when k = 7 then '- T — http://e/' || page_id end) as text,
+    (case when k in (1, 2, 6) then 0 when k = 5 then 2 else 1 end)::bigint as pages, k = 4 and length(x) >= 20 as is_rendered from p
+    union all select '{_RAW}n/' || page_id, null, 'html', '', 'utf-8', {_MORE}, 1, false from pages where page_id % 8 = 5"""
+)
+def whole_read(spark, folder):
+    """All steps of a read in one plan: gates, payloads, a rendering in place of an empty page, a continuation."""
+    x = read_pages(spark, folder)
+    k, number, raw = c("page_id") % 8, c("page_id").cast("string"), F.lit(_RAW)
+    scripts = F.lit("<html><body >" + "<script >x</script>" * 5 + "</body></html>")
+    next_page = F.concat(F.lit('<link rel="next" href="/n/'), number, F.lit('">'), c("html"))
+    text_ = F.when(k == 2, "<urlset ></urlset>").when(k == 3, F.concat(F.lit('{ "id" : '), number, F.lit("}"))).when(k == 4, scripts).when(k == 5, next_page).when(k == 7, F.concat(F.lit("<rss ><title>Feed</title><item><title>T</title><link>http://e/"), number, F.lit("</link></item></rss>"))).otherwise(c("html"))
+    kind = F.when(k == 2, "application/xml").when(k == 3, "application/json").when(k == 6, "image/png").when(k == 7, "application/rss+xml").otherwise("text/html; charset=utf-8")
+    status = F.when(k == 1, 404).otherwise(200)
+    rows = x.select(F.concat(raw, number).alias("url"), status.alias("status"), F.when(k == 1, "Not Found").otherwise("OK").alias("reason"), kind.alias("content_type"), F.encode(text_, "UTF-8").alias("body"), F.when(k == 4, c("html")).alias("rendered"))
+    more = x.filter(k == 5).select(F.concat(raw, F.lit("n/"), number).alias("url"), F.lit(200).alias("status"), F.lit("OK").alias("reason"), F.lit("text/html").alias("content_type"), F.encode(F.concat(F.lit("<article ><p>"), F.expr(_MORE), F.lit("</p></article>")), "UTF-8").alias("body"), F.lit(None).cast("string").alias("rendered"))
+    return read.whole(rows.unionByName(more)).select("url", "error", "kind", "title", "charset", "text", F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("is_rendered", F.lit(False)).alias("is_rendered"))
+
+
+@query(
+    f"""select page_id as request, '读取 1/1 页成功' || chr(10) || chr(10) || '--- ' || coalesce(nullif(t, ''), url) || ' (' || length(x) || ' 字符) ---' || chr(10) || coalesce(nullif(x, ''), '{V.NOTHING}') || coalesce(chr(10) || 'links: ' || l.shown || (case when l.n > 6 then ' …共' || l.n || '个' else '' end), '') as report
+    from (select page_id, url, t, {Q.sliced('x', 500)} as x from (select page_id, url || '?p=' || page_id as url, {Q.title('html')} as t, {Q.body_text('html')} as x from pages)) p
+    left join (select page_id as id, count(*) as n, string_agg(title || ' — ' || url, ' | ' order by pos) filter (where m <= 6) as shown from (select *, row_number() over (partition by page_id order by pos) as m from ({_links(20)})) group by page_id) l on l.id = p.page_id"""
+)
+def batch_links(spark, folder):
+    """Batch reads with the first links of each page, and their number."""
+    pages = read_pages(spark, folder).withColumn("url", F.concat("url", F.lit("?p="), "page_id"))
+    return read.batch_report(read.batch(pages.select(c("page_id").alias("request"), F.array("url").alias("urls")), pages, 500, max_links=20))
+
+
+@query("select page_id as request, 10::bigint as total, 0::bigint as succeeded, 10::bigint as failed from pages")
+def batch_cap(spark, folder):
+    """Of eleven addresses and a blank one the first ten are read."""
+    pages = read_pages(spark, folder)
+    asked = F.concat(F.array(F.lit(" ")), F.transform(F.sequence(F.lit(1), F.lit(11)), lambda i: F.concat(F.lit("http://none.example.com/"), i.cast("string"))))
+    return read.batch_summary(read.batch(pages.select(c("page_id").alias("request"), asked.alias("urls")), pages))
+
+
+@query("select doc_id, 5::bigint as count, '- ' || doc_id || '.1' || chr(10) || '- ' || doc_id || '.2' || chr(10) || '- ' || doc_id || '.3' || chr(10) || '- ' || doc_id || '.4' || chr(10) || '- ' || doc_id || '.6' as text from documents")
+def feed_limit(spark, folder):
+    """Of eight items the first five that say anything."""
+    items = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.when(i == 5, "<entry ><title> </title></entry>").otherwise(F.concat(F.lit("<entry ><title>"), c("doc_id"), F.lit("."), i, F.lit("</title></entry>")))), "")
+    x = table(spark, folder, "documents").select("doc_id", text.parse_feed(F.concat(F.lit("<feed >"), items, F.lit("</feed>")), 5).alias("f"))
+    return x.select("doc_id", "f.count", "f.text")

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from leafmill.config import Settings
+from leafmill.functions import values
 from leafmill.operators import cache, fetch, navigate
 from leafmill.plans import read
 
@@ -73,3 +74,58 @@ def test_reads_by_content_type(spark):
     assert docs == {"a": ("json", "", '{"b":1,"a":[1,2]}', "json"), "f": ("feed", "F", "- A", "feed"), "h": ("html", "T", "# Head\n\nText **bold**", "markdown")}
     cut = {r.url[-1]: (r.text, r.truncated, r.site_name) for r in read.read(pages.drop("type"), 6, mode="markdown").filter("url like '%/h'").collect()}
     assert cut == {"h": ("# Head", True, "e.example.com")}
+
+
+def _fetched(spark):
+    html = "<title>T</title><article ><p>{}</p></article>"
+    shell = "<body >" + "<script >x</script>" * 5 + "</body>"
+    rows = [
+        ("http://e.example.com/a", 200, "text/html", html.format("First page of the text.") + '<a href="/b">next</a>', None),
+        ("http://e.example.com/b", 200, "text/html", html.format("Second page of the text."), None),
+        ("http://e.example.com/c", 200, "text/html", html.format("Third page, which goes on as no page of HTML.") + '<link rel="next" href="/j">', None),
+        ("http://e.example.com/j", 200, "application/json", '{"a": [1.0, "text that is long enough"]}', None),
+        ("http://e.example.com/s", 200, "text/xml", "<urlset ></urlset>", None),
+        ("http://e.example.com/x", 200, "text/html", shell, html.format("What the scripts have drawn.")),
+        ("http://e.example.com/y", 200, "text/html", shell, "Just a moment... " + html.format("long enough text of a challenge")),
+        ("http://e.example.com/z", 200, "text/html", shell, "<p></p>"),
+        ("http://e.example.com/g", 503, "text/html", "", None),
+    ]
+    return spark.createDataFrame([(u, s, "", t, bytearray(b.encode()), r) for u, s, t, b, r in rows], "url string, status int, reason string, content_type string, body binary, rendered string")
+
+
+def test_whole_reads(spark):
+    docs = {r.url[-1]: r for r in read.whole(_fetched(spark), include_links=True).collect()}
+    assert len(docs) == 9
+    assert (docs["a"].text, docs["a"].pages) == ("First page of the text.\n\nSecond page of the text.", 2)
+    assert [(x.title, x.url) for x in docs["a"].links] == [("next", "http://e.example.com/b")]
+    assert (docs["c"].text, docs["c"].pages) == ("Third page, which goes on as no page of HTML.", 1)
+    assert (docs["j"].text, docs["j"].kind, docs["j"].charset) == ('{"a":[1,"text that is long enough"]}', "json", "json")
+    assert (docs["s"].error, docs["s"].text) == ("Unsupported content (XML sitemap)", None)
+    assert (docs["x"].text, docs["x"].is_rendered) == ("What the scripts have drawn.", True)
+    assert (docs["y"].text, docs["y"].is_rendered, docs["y"].spa_hint) == ("", False, values.HINT_BLOCKED_EMPTY)
+    assert (docs["z"].is_rendered, docs["z"].spa_hint) == (False, values.HINT_RENDERED_EMPTY)
+    assert docs["g"].error == "HTTP 503 "
+
+
+def test_an_extractor_takes_the_place_of_the_heuristics(spark):
+    pages = _fetched(spark).filter("url like '%/a'")
+    clean = lambda html: F.when(html.contains("First"), "<p>Clean <b>text</b></p>")
+    assert [r.text for r in read.whole(pages, extractor=clean).collect()] == ["Clean text"]
+    assert [r.text for r in read.whole(pages, "markdown", extractor=clean).collect()] == ["Clean **text**"]
+
+
+def test_reports_of_requests(spark):
+    docs = read.whole(_fetched(spark))
+    at = datetime(2024, 1, 1)
+    rows = [(1, "s", "http://e.example.com/b#x", at, 0), (2, "s", "http://e.example.com/b", at + timedelta(seconds=9), 7), (3, "t", "http://e.example.com/b", at + timedelta(seconds=9), 0), (4, "s", "http://e.example.com/s", at, 0)]
+    got = {r.request: (r.cached, r.report) for r in read.reports(spark.createDataFrame(rows, "request int, session string, url string, at timestamp, offset int"), docs).collect()}
+    assert got[1] == (False, "title: T\n(chars 24)\n\nSecond page of the text.")
+    assert got[2] == (True, "title: T\n(chars 7+24/24 · offset 续读 · cached)\n\nSecond page of the text.")
+    assert got[3][0] is False
+    assert got[4] == (False, "Error: Unsupported content (XML sitemap)")
+
+
+def test_a_site_report_has_its_head_and_failures(spark):
+    rows = [("http://e.example.com/", "http://e.example.com/", 0, 1, None, "Home", 4, "text"), ("http://e.example.com/", "http://e.example.com/b", 1, 2, None, "", 0, ""), ("http://e.example.com/", "http://e.example.com/a", 1, 1, "HTTP 404 Not Found", None, None, None)]
+    walk = spark.createDataFrame(rows, "entry string, url string, depth int, place long, error string, title string, chars int, text string")
+    assert [r.report for r in navigate.site_report(walk).collect()] == ["站点: e.example.com · 爬取 2/3 页 · 1 页失败\n[0] Home (4 字符)  http://e.example.com/\n   text\n  [1] http://e.example.com/b (0 字符)  http://e.example.com/b\n[失败] http://e.example.com/a — HTTP 404 Not Found"]
