@@ -10,6 +10,7 @@ from math import log10
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -87,6 +88,30 @@ def test_growing_moves_rows_into_the_new_shard_only(spark):
     assert abs(share[0] - 1 / 12) < 0.02
 
 
+def drawn(key, weights):
+    """The shard that wins a key, by its definition."""
+    best = None
+    for i, w in enumerate(weights):
+        seed = xxhash.xxh64(str(key).encode(), seed=42).intdigest()
+        bits = xxhash.xxh64(i.to_bytes(4, "little"), seed=seed).intdigest() >> 11
+        v = (-w / np.log((bits + 0.5) / 2.0**53), i)
+        best = v if best is None or v > best else best
+    return best[1]
+
+
+def test_shards_by_definition(spark):
+    own = texts(spark)
+    rows = sharding.op10_rendezvous_sharding(spark, MEDIUM).collect()
+    assert len(rows) == len(own)
+    slots = defaultdict(list)
+    for r in rows:
+        body = own[r.doc_id].encode()
+        assert (r["size"], r.text_crc32, r.law) == (len(body) + 16, zlib.crc32(body), "key")
+        assert (r.shard, r.grown_shard) == (drawn(r.doc_id, [1.0] * 40), drawn(r.doc_id, [1.0] * 41))
+        slots[r.shard].append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 # --- near-duplicates -------------------------------------------------------------------------
 
 
@@ -404,6 +429,62 @@ def test_edited_license_is_aligned():
     assert found[0][4] == len(lead)
 
 
+def aligned(a, b):
+    """Words of a that the best local alignment with b matches, by the whole table of scores."""
+    best = [[(0, 0)] * (len(b) + 1) for _ in range(len(a) + 1)]
+    top = (0, 0)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            same = a[i - 1] == b[j - 1]
+            x, m = best[i - 1][j - 1]
+            found = max((x + (2 if same else -1), m + same), (best[i - 1][j][0] - 1, best[i - 1][j][1]), (best[i][j - 1][0] - 1, best[i][j - 1][1]), (0, 0))
+            best[i][j] = found if found[0] > 0 else (0, 0)
+            top = max(top, best[i][j])
+    return top[1]
+
+
+def test_findings_are_those_of_a_whole_alignment(spark):
+    """Edited templates in other words: what covers eight tenths by the whole table is found, with that coverage."""
+    rng = random.Random(6)
+    names = ("cc-by-4.0-line", "gpl-3.0-line", "mpl-2.0", "isc", "unlicense")
+    words = {n: [w.lower() for w in re.findall("[A-Za-z0-9]+", t)] for n, t in licenses.TEMPLATES}
+    docs, want = [], {}
+    for i in range(40):
+        name = rng.choice(names)
+        own, n = list(words[name]), len(words[name])
+        for _ in range(rng.randint(0, n // 5)):
+            k = rng.randrange(len(own))
+            rng.choice([lambda k=k, own=own: own.pop(k), lambda k=k, own=own: own.insert(k, f"x{rng.randint(0, 9)}"), lambda k=k, own=own: own.__setitem__(k, "changed")])()
+        text = [f"lead{rng.randint(0, 5)}" for _ in range(rng.randint(0, 30))] + own + [f"tail{rng.randint(0, 5)}" for _ in range(rng.randint(0, 30))]
+        docs.append((i, " ".join(text)))
+        want[i] = (name, aligned(words[name], text) / n)
+    rows = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = {r.doc_id: r.coverage for r in rows if r.license == want[r.doc_id][0]}
+    sure = [i for i, (_, share) in want.items() if share >= 0.85]
+    assert len(sure) > 10
+    assert all(i in got for i in sure)
+    assert all(got[i] <= want[i][1] + 1e-9 and got[i] >= want[i][1] - 0.05 for i in got)
+    assert all(want[i][1] >= 0.8 - 1e-9 for i in got)
+
+
+@pytest.mark.parametrize(("name", "text"), [("mit-line", "Released under the MIT License. "), ("all-rights-reserved", "All rights reserved. "), ("cc-by-nc-4.0-line", "Licensed under CC BY-NC 4.0. ")])
+def test_copies_that_follow_each_other_count_each(name, text):
+    index = licenses.index(licenses.TEMPLATES)
+    for n in (1, 2, 3, 10):
+        found = [x for x in licenses.find(index, [("lead " + text * n + "end").encode()], 0.8) if index.names[x[1]] == name and x[2] == 1]
+        assert len(found) == n
+        assert [x[4] for x in found] == [5 + k * len(text) for k in range(n)]
+
+
+def test_templates_of_a_table(spark, monkeypatch):
+    table = spark.createDataFrame([("own", "these are the words of a license of our own"), ("none", None)], "name string, text string")
+    docs = spark.createDataFrame([(1, "and these are the words of a license of our own too")], "doc_id long, text string")
+    assert [(r.doc_id, r.license, r.coverage) for r in licenses.scan(docs, table).collect()] == [(1, "own", 1.0)]
+    monkeypatch.setattr(licenses, "INDEX_BYTES", 10)
+    with pytest.raises(ValueError, match="bytes"):
+        licenses.scan(docs, table)
+
+
 @given(st.lists(st.integers(0, 1000), min_size=5, max_size=60))
 def test_winnowing_leaves_no_window_without_a_print(values):
     at = licenses.winnow(np.array(values, np.uint64), 4)
@@ -413,6 +494,47 @@ def test_winnowing_leaves_no_window_without_a_print(values):
 # --- classifiers and models --------------------------------------------------------------------------------
 
 
+def test_toxicity_scores_by_definition(spark):
+    """Features, log ratios and scores, from the n-grams of each text as strings."""
+    own = texts(spark)
+    model = toxicity.train(load(spark, MEDIUM, "documents"), load(spark, MEDIUM, "labels"))
+
+    def hashed(g):
+        h = len(g) * 0x9E3779B1 & 0xFFFFFFFF
+        for ch in g:
+            h = (h ^ ord(ch)) * 0x85EBCA6B & 0xFFFFFFFF
+            h ^= h >> 15
+        return h >> (32 - toxicity.BITS)
+
+    def grams(t):
+        t = " ".join(["", *t.lower().split(), ""])
+        return {hashed(t[i : i + n]) for n in toxicity.LENGTHS for i in range(len(t) - n + 1)}
+
+    some = [i for i in own if len(own[i]) < 4000][:150]
+    rows = {r.doc_id: r.score for r in toxicity.score(load(spark, MEDIUM, "documents").filter(F.col("doc_id").isin(some)), model).collect()}
+    for i in some:
+        v = model.bias + sum(model.weights[model.table[h]] for h in grams(own[i]) if model.table[h])
+        assert rows[i] == pytest.approx(1 / (1 + np.exp(-np.clip(v, -500, 500))), rel=1e-9)
+    # the features are those whose log ratio is the most standard errors from 0
+    labels = {r.doc_id: r.toxic for r in load(spark, MEDIUM, "labels").collect() if r.doc_id in own}
+    n = Counter(labels.values())
+    df = {y: Counter(h for i in labels if labels[i] == y for h in grams(own[i])) for y in (0, 1)}
+    ratio = {h: np.log((df[1][h] + 1) / (n[1] + 2)) - np.log((df[0][h] + 1) / (n[0] + 2)) for h in {*df[0], *df[1]}}
+    z = {h: abs(x) / np.sqrt(1 / (df[1][h] + 1) + 1 / (df[0][h] + 1)) for h, x in ratio.items()}
+    used = set(np.flatnonzero(model.table).tolist())
+    least = sorted(z.values(), reverse=True)[: toxicity.FEATURES][-1]
+    assert len(used) == toxicity.FEATURES
+    assert all(z[h] > least - 1e-4 for h in used)
+    assert {h for h in z if z[h] > least + 1e-4} <= used
+
+
+def test_the_training_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "word " * 2000) for i in range(30)] + [(100 + i, "x") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i in [*range(30), *range(100, 130)]], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, size=15_000)
+    assert np.isfinite(model.bias)
+
+
 def test_toxicity_on_the_held_out_fold(spark):
     folder = "/root/testdata/sf0.1"
     out = toxicity.op7_toxicity(spark, folder).filter("held_out").join(load(spark, folder, "labels").select("doc_id", "toxic"), "doc_id").toPandas()
