@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Paths of the tables that a query under ``finished`` has written so far.
-_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+_scratch: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +42,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     if (held := _scratch.get()) is not None:
-        held.append(path)
+        held.append((spark, path))
     # nothing reads the shuffle files of this query again: they go as soon as the table is there
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
@@ -55,7 +55,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def finished(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """The frame that ``make`` returns, written; the tables written on the way to it are deleted."""
-    held: list[str] = []
+    held: list[tuple[SparkSession, str]] = []
     token = _scratch.set(held)
     try:
         try:
@@ -64,8 +64,7 @@ def finished(make: Callable[[], DataFrame], name: str) -> DataFrame:
             _scratch.reset(token)
         return written(out, name)
     finally:
-        spark = SparkSession.getActiveSession()
-        for path in held:
+        for spark, path in held:
             _delete(spark, path)
 
 

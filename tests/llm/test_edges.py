@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from leafmill.llm import ann, decontam, dedup, licenses, lm, packing, pii, secrets, sharding, toxicity
+from leafmill.llm import ann, common, decontam, dedup, licenses, lm, packing, pii, secrets, sharding, toxicity
 from leafmill.llm.common import remainder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, root int, base string, score double, spans int, `class` int, rid long, `_c0` string"
@@ -156,3 +156,27 @@ def test_stages(spark, tmp_path, odd, empty, tests, labels, k):
         assert out.columns == cols
     assert out.count() >= 7
     assert stage(spark, empty.select(*cols), str(tmp_path)).count() == 0
+
+
+def test_finished_leaves_the_result_only(spark, odd):
+    def places():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{common.shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return {x.getPath().getName() for x in files.listStatus(path)} if files.exists(path) else set()
+
+    before = places()
+    out = common.finished(lambda: common.finished(lambda: common.written(common.written(odd, "one"), "two"), "inner").filter("doc_id = 1"), "outer")
+    assert out.count() == 2
+    assert [n.split("-")[0] for n in places() - before] == ["outer"]
+    with pytest.raises(ZeroDivisionError):
+        common.finished(lambda: common.written(odd, "lost").limit(1 // 0), "never")
+    assert [n.split("-")[0] for n in places() - before] == ["outer"]
+
+
+def test_hot_keys_join_as_the_others_do(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = spark.range(500).withColumn("k", F.when(F.col("id") < 300, -1).otherwise(F.col("id") % 40))
+    table = common.written(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "counted")
+    got = common.join_counted(rows, table, "k", "n").collect()
+    assert sorted(r.id for r in got) == list(range(500))
+    assert {r.n for r in got if r.k == -1} == {300}
