@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 from leafmill.functions import values as V
 from leafmill.functions.html import first, let, text_only, trim
 
-_UNSAFE_PATH = "[^!#-;=?-_a-z|~]"
+#: Characters that a path, a query and a fragment can't hold as they are.
+_UNSAFE_PATH, _UNSAFE_QUERY, _UNSAFE_FRAGMENT = "[^!#-;=?-_a-z|~]", "[^!$-&(-;=?-~]", "[^!#-;=?-_a-~]"
 
 
-def escaped(c: Column) -> Column:
-    """Percent-encode what a URL's path and query can't hold as it is."""
-    each = lambda t: F.transform(F.split(t, ""), lambda ch: F.when(ch.rlike(_UNSAFE_PATH), F.replace(F.url_encode(ch), F.lit("+"), F.lit("%20"))).otherwise(ch))
-    return let(c, lambda t: F.when(t.rlike(_UNSAFE_PATH), F.array_join(each(t), "")).otherwise(t))
+def escaped(c: Column, unsafe: str = _UNSAFE_PATH) -> Column:
+    """Percent-encode what a part of a URL can't hold as it is."""
+    one = lambda ch: F.when(ch == "'", "%27").otherwise(F.replace(F.url_encode(ch), F.lit("+"), F.lit("%20")))
+    each = lambda t: F.transform(F.split(t, ""), lambda ch: F.when(ch.rlike(unsafe), one(ch)).otherwise(ch))
+    return let(c, lambda t: F.when(t.rlike(unsafe), F.array_join(each(t), "")).otherwise(t))
+
+
+def _user(url: Column) -> Column:
+    """The user part of a URL with its sign; '' without any."""
+    found = F.regexp_extract(url, "(?i)^https?://([^/?#\\\\]*@)", 1)
+    return F.when(found.isin("@", ":@"), "").otherwise(found)
 
 
 def origin(url: Column) -> Column:
@@ -44,8 +52,9 @@ def absolute(url: Column) -> Column:
 def _absolute(url: Column) -> Column:
     rest = F.regexp_extract(url, "(?is)^https?://[^/?#\\\\]+(.*)\\z", 1)
     path = F.translate(F.regexp_extract(rest, "(?s)^[^?#]*", 0), "\\", "/")
-    more = F.regexp_extract(rest, "(?s)^[^?#]*(.*)\\z", 1)
-    return F.concat(origin(url), escaped(F.concat(let(path, lambda p: _dots(F.when(p == "", "/").otherwise(p))), more)))
+    query, fragment = F.regexp_extract(rest, "(?s)^[^?#]*(\\?[^#]*)", 1), F.regexp_extract(rest, "(?s)^[^#]*(#.*)\\z", 1)
+    place = F.concat(F.regexp_extract(origin(url), "^(https?://)", 1), _user(url), F.regexp_extract(origin(url), "^https?://(.*)\\z", 1))
+    return F.concat(place, escaped(let(path, lambda p: _dots(F.when(p == "", "/").otherwise(p)))), escaped(query, _UNSAFE_QUERY), escaped(fragment, _UNSAFE_FRAGMENT))
 
 
 def resolve(href: Column, base: Column) -> Column:

@@ -126,6 +126,20 @@ def test_links(spark):
     assert [(x.title, x.url) for x in got] == [("c", "http://e.example.com/d/c?q=%C3%BC"), ("o", "http://o.example.com/y"), ("t", "http://e.example.com/d/e/f?z#top")]
 
 
+@pytest.mark.parametrize(
+    ("url", "want", "host"),
+    [
+        ("HTTP://User:pw@E.example.com:80/a b?q={x}'y#f`g", "http://User:pw@e.example.com/a%20b?q={x}%27y", "e.example.com"),
+        ("https://@e.example.com:443", "https://e.example.com/", "e.example.com"),
+        ("http://e.example.com/a{b}/../c'd?x=ü", "http://e.example.com/c'd?x=%C3%BC", "e.example.com"),
+        ("ftp://e.example.com/", None, ""),
+    ],
+)
+def test_normal_forms(spark, url, want, host):
+    assert of(spark, urls.normalize, url) == want
+    assert of(spark, urls.host_of, url) == host
+
+
 @pytest.mark.parametrize(
     ("html", "want"),
     [
