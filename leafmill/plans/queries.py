@@ -122,6 +122,16 @@ def balanced_block(spark, folder):
     return read_pages(spark, folder).select("page_id", H.pick_main(x).alias("html"))
 
 
+_TINY = """'<body ><article >' || repeat('ab ', 64 + page_id % 6) || '</article><main ><p>' || page_id || '</p></main ><article >c</article></body>'"""
+
+
+@query("""select page_id, (case when 3 * (64 + page_id % 6) - 1 + 2 >= 200 then '<article >' || repeat('ab ', (64 + page_id % 6)::int) || '</article>' || chr(10) || '<article >c</article>' else '<main ><p>' || page_id || '</p></main >' end) as html from pages""")
+def tiny_article(spark, folder):
+    """Articles of fewer than 200 characters give way to the main element."""
+    x = F.expr(_TINY.replace("64 + page_id % 6)", "cast(64 + page_id % 6 as int))"))
+    return read_pages(spark, folder).select("page_id", H.pick_main(x).alias("html"))
+
+
 _META = """'<html lang="de"><head><title></title>' || (case page_id % 3 when 0 then '<meta property="og:title" content="T">' else '' end) || '<meta property="og:site_name" content="Site &amp; Co"><meta name="author" content=" A &amp;amp; <b>B</b> ' || page_id || '">' || (case page_id % 2 when 0 then '<meta name="pubdate" content="2024-01-0' || (page_id % 9 + 1) || '">' else '<meta content="x" name="date">' end) || '<meta name="description" content="' || repeat('d', 100) || '"></head>' || html"""
 
 
