@@ -229,7 +229,7 @@ def _sliced(spark, folder, offset, limit):
     f"""with recursive t as (select conv_id, text, row_number() over (partition by conv_id order by turn, text) as n from conversations),
     r as (select conv_id, text as x, 1 as n from t where n = 1
     union all select conv_id, {Q.join_pages('x', 'y')} as x, n from (select r.conv_id, r.x, t.n, case when t.n % 2 = 0 then right(r.x, 40) || t.text else t.text end as y from r join t on t.conv_id = r.conv_id and t.n = r.n + 1))
-    select conv_id, arg_max(x, n) as text, max(n) as n_pages from r group by conv_id"""
+    select conv_id, arg_max(x, n) as text, max(n)::bigint as n_pages from r group by conv_id"""
 )
 def join_pages(spark, folder):
     """All turns of each conversation joined in order; every other one repeats the end of what was before."""
