@@ -152,8 +152,9 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, ke
     the smaller id.  Rows whose id or vector is null, whose vector is zero,
     holds null or non-finite components or has another length than most take
     no part; repeated ids count once; fewer other rows than ``k`` give fewer; empty
-    tables give none; other columns are not read.  Buckets with many rows or
-    queries are dealt over blocks, so no hot bucket meets in one task.
+    tables give none; other columns are not read.  A query whose probed buckets
+    hold fewer than ``k`` rows is searched exactly, in blocks.  Buckets with
+    many rows or queries are dealt over blocks, so no hot bucket meets in one task.
     """
     spark = vectors.sparkSession
     rows = written(usable(vectors, key, vec), "vectors")
