@@ -265,7 +265,8 @@ def test_adversarial_html(spark):
         return time.time() - began
 
     overhead = seconds("<p>x</p>")
-    assert seconds("<div>" * 10_000) < 2 * (overhead + 0.9)
+    # two reads, each within 0.9 s besides its planning
+    assert seconds("<div>" * 10_000) < overhead + 2 * 0.9
     assert seconds(*(f"<{t}" * 10_000 + "<p>x</p>" for t in ("img", "style", "article"))) < 3 * overhead + 3.0
     more = ("<style>" * 40_000, "</style>" + "<style>" * 40_000, "<script>" * 20_000 + "</script>", "<article>" * 10_000, "<div class='ads'>" * 10_000, "<style " * 10_000, "<a href='x" * 5_000, "<!--" * 10_000, "<nav><aside>" * 5_000 + "</nav>")
     assert seconds(*more) < len(more) * (overhead + 2)
